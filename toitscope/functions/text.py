@@ -11,9 +11,11 @@ BLANKS = (
     "            "
     "    　"
 )
-# Spark's own cast takes "12d", "nan" and "inf" for numbers and "2023-01" for a date.
+# Spark's own cast takes "12d", "nan" and "inf" for numbers and "2023-01" for a date; and a cast that fails
+# costs far more than a pattern that does not match.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+WHOLE = r"^[+-]?\d+$"
+DATE = r"^(?!0000)\d{4}-(0?[1-9]|1[0-2])-(0?[1-9]|[12]\d|3[01])$"
 
 
 def strip(text: Column) -> Column:
@@ -35,7 +37,7 @@ def to_double(text: Column) -> Column:
 
 
 def to_int(text: Column) -> Column:
-    return text.try_cast("int")
+    return F.when(text.rlike(WHOLE), text.try_cast("int"))
 
 
 def to_date(text: Column) -> Column:

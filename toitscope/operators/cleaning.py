@@ -39,7 +39,12 @@ def _blank(*fields: Column) -> Column:
 
 
 def _kept(screened: DataFrame) -> DataFrame:
-    return screened.where(F.col("_reject").isNull()).drop("_reject", "_pos")
+    """Rows without a reject reason.
+
+    A plain filter would be moved below the parsing and repeat it; rows that give no struct are parsed once.
+    """
+    columns = [name for name in screened.columns if name not in ("_reject", "_pos")]
+    return screened.select(F.inline(F.when(F.col("_reject").isNull(), F.array(F.struct(*columns)))))
 
 
 def _place(raw: DataFrame) -> list[str]:

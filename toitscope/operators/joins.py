@@ -1,0 +1,16 @@
+"""Broadcast behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count finds at most ``max_rows`` rows; else Spark shuffles it.
+
+    Meant for narrow sides such as the commune register (some 35,000 short rows).
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df

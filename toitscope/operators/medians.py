@@ -1,9 +1,11 @@
 """Exact medians, counts and means of money amounts for groups of any size.
 
-Rows are first counted per (group, amount), which each task does on its own before anything is shuffled and
-which spreads a hot group over all its amounts. The median's rank is then found in two steps: in which block
-of ``BLOCK`` cents it lies, then which amount inside that block. An amount of decimal(12,2) has at most 10^12
-cent values, so neither step ever sees more than about ``BLOCK`` rows of a group.
+Rows are first counted per (key, amount): each task does that on its own before anything is shuffled, and it
+spreads a hot key over all its amounts. The middle rank is then found in two steps: the block of amounts it lies
+in, from block totals, and the amount inside that block. Only amounts of such blocks go on to the second step.
+
+With decimal(12,2) prices in blocks of 100,000 cents there are at most 10^7 blocks per group and 10^5 amounts per
+block, so no step collects an unbounded group.
 """
 
 from __future__ import annotations
@@ -12,17 +14,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK = 1_000_000
+
+# What a middle block carries along: its ranks and the figures of its group.
+CARRIED = ["from_rank", "to_rank", "nb_rows", "nb_values", "total"]
 
 
 def cents(amount: Column) -> Column:
     """Amount in whole cents."""
-    return (amount.cast("decimal(16,2)") * 100).cast("bigint")
+    return (amount.cast("decimal(14,2)") * F.lit(100)).cast("bigint")
+
 
+def amount_counts(df: DataFrame, keys: list[str], amounts: list[str]) -> DataFrame:
+    """(keys, measure, units, n): how often each amount in cents occurs, NULL included.
 
-def amount_counts(df: DataFrame, keys: list[str], amounts: dict[str, Column]) -> DataFrame:
-    """(keys, measure, units, n): how often each amount occurs. NULL amounts are counted too."""
-    entries = [F.struct(F.lit(name).alias("measure"), cents(col).alias("units")) for name, col in amounts.items()]
+    ``measure`` is the place of the amount's column in ``amounts``.
+    """
+    entries = [F.struct(F.lit(i).alias("measure"), cents(F.col(c)).alias("units")) for i, c in enumerate(amounts)]
     return (
         df.select(*keys, F.inline(F.array(*entries)))
         .groupBy(*keys, "measure", "units")
@@ -30,86 +37,117 @@ def amount_counts(df: DataFrame, keys: list[str], amounts: dict[str, Column]) ->
     )
 
 
-def median_ranks(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, lower, upper): the two middle amounts in cents; equal when the count is odd.
+def _block(sizes: list[int]) -> Column:
+    """Number of the block an amount is in; blocks keep the order of amounts. NULL goes to block 0."""
+    block = F.lit(0).cast("bigint")
+    for i, size in enumerate(sizes):
+        block = F.when(F.col("measure") == i, F.expr(f"units div {size}")).otherwise(block)
+    return F.coalesce(block, F.lit(0).cast("bigint"))
 
-    ``keys`` must not be NULL. Groups whose amounts are all NULL give no row.
-    """
-    group = [*keys, "measure"]
-    # Every reader of ``counts`` takes the same columns and rows, so Spark shuffles it only once.
-    blocked = counts.withColumn(
-        "block", F.coalesce(F.expr(f"units div {BLOCK}"), F.lit(0).cast("bigint"))
-    ).withColumn("valid", F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0)))
 
-    whole = W.partitionBy(*group)
-    running = whole.orderBy("block")
-    blocks = (
-        blocked.groupBy(*group, "block")
-        .agg(F.sum("valid").alias("in_block"))
-        .select(
-            *group,
-            "block",
-            F.sum("in_block").over(running).alias("upto"),
-            (F.sum("in_block").over(running) - F.col("in_block")).alias("before"),
-            F.sum("in_block").over(whole).alias("total"),
-        )
-        .withColumn("lower_rank", F.expr("(total + 1) div 2"))
-        .withColumn("upper_rank", F.expr("total div 2 + 1"))
-        .where((F.col("before") < F.col("upper_rank")) & (F.col("upto") >= F.col("lower_rank")))
-        .select(*group, "block", "before", "lower_rank", "upper_rank")
-    )
+def amount_stats(
+    counts: DataFrame, keys: list[str], amounts: dict[str, int], members: DataFrame | None = None
+) -> DataFrame:
+    """One row per group: ``nb_rows`` and, per amount, ``<name>_mean`` and ``<name>_median``.
 
-    inside = W.partitionBy(*group, "block").orderBy("units")
-    return (
-        blocked.join(blocks, [*group, "block"])
-        .withColumn("last_rank", F.col("before") + F.sum("valid").over(inside))
-        .where(
-            F.col("units").isNotNull()
-            & (F.col("last_rank") - F.col("valid") < F.col("upper_rank"))
-            & (F.col("last_rank") >= F.col("lower_rank"))
+    ``counts`` come from ``amount_counts``; ``amounts`` gives the block size of each, in the same order.
+    The groups are the keys themselves, or with ``members`` (key columns, group columns) every group a key is
+    listed under; a key that is not listed drops out. Keys and groups must not be NULL.
+    """
+    # Both readers of the counts take the same columns and rows, so Spark shuffles them once.
+    blocked = counts.withColumn("block", _block(list(amounts.values()))).withColumn(
+        "valid", F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    )
+    groups, per_block = keys, _block_sums(blocked, keys, _cents_sum())
+    if members is not None:
+        on = [c for c in keys if c in members.columns]
+        groups = [c for c in keys if c not in on] + [c for c in members.columns if c not in on]
+        per_block = _block_sums(per_block.join(members, on), groups, F.sum("total"), "nb_rows", "in_block")
+
+    blocks = _middle_blocks(per_block, [*groups, "measure"])
+    if members is None:
+        inside = blocked.join(blocks, [*keys, "measure", "block"])
+    else:
+        shared = [c for c in groups if c in members.columns]
+        inside = (
+            blocked.join(blocks.join(members, shared), [*keys, "measure", "block"])
+            .groupBy(*groups, "measure", "block", "units")
+            .agg(F.sum("valid").alias("valid"), *[F.max(name).alias(name) for name in CARRIED])
         )
-        .groupBy(*group)
-        .agg(F.min("units").alias("lower"), F.max("units").alias("upper"))
+    hits = _middle_amounts(inside, [*groups, "measure"])
+    picked = {"nb_values": F.max, "total": F.max, "lower": F.min, "upper": F.max}
+    figures = hits.groupBy(*groups).agg(
+        F.max("nb_rows").alias("nb_rows"),
+        *[
+            pick(F.when(F.col("measure") == i, F.col(value))).alias(f"{name}_{value}")
+            for i, name in enumerate(amounts)
+            for value, pick in picked.items()
+        ],
+    )
+    return figures.select(
+        *groups,
+        "nb_rows",
+        *[_mean(F.col(f"{name}_total"), F.col(f"{name}_nb_values")).alias(f"{name}_mean") for name in amounts],
+        *[
+            ((F.col(f"{name}_lower") + F.col(f"{name}_upper")) / F.lit(200.0)).alias(f"{name}_median")
+            for name in amounts
+        ],
     )
 
 
-def totals(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, nb_rows, nb_values, total_units) from the amount counts."""
-    units = F.col("units").cast("decimal(18,0)") * F.col("n").cast("decimal(19,0)")
-    return counts.groupBy(*keys, "measure").agg(
-        F.sum("n").alias("nb_rows"),
-        F.sum(F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("nb_values"),
-        F.sum(units).alias("total_units"),
-    )
+def _cents_sum() -> Column:
+    return F.sum(F.col("units").cast("decimal(18,0)") * F.col("n").cast("decimal(18,0)"))
 
 
-def mean_amount(total_units: Column, nb_values: Column) -> Column:
-    """Mean with six decimals, rounded half up; NULL for no values."""
-    euros = total_units.cast("decimal(26,0)") * F.lit("0.01").cast("decimal(3,2)")
-    return F.try_divide(euros.cast("decimal(26,2)"), nb_values.cast("decimal(12,0)")).cast("decimal(16,6)")
+def _block_sums(df: DataFrame, keys: list[str], total: Column, rows: str = "n", valid: str = "valid") -> DataFrame:
+    return df.groupBy(*keys, "measure", "block").agg(
+        F.sum(rows).alias("nb_rows"), F.sum(valid).alias("in_block"), total.cast("decimal(38,0)").alias("total")
+    )
 
 
-def median_amount(lower: Column, upper: Column) -> Column:
-    """Midpoint of the two middle amounts."""
-    return (lower + upper) / F.lit(200.0)
+def _middle_blocks(per_block: DataFrame, group: list[str]) -> DataFrame:
+    """The block or two with the middle ranks of each group, these ranks counted from the block's start."""
+    whole = W.partitionBy(*group)
+    running = F.sum("in_block").over(whole.orderBy("block"))
+    ranked = per_block.select(
+        *group,
+        "block",
+        (running - F.col("in_block")).alias("before"),
+        running.alias("upto"),
+        *[
+            F.sum(value).over(whole).alias(name)
+            for name, value in {"nb_rows": "nb_rows", "nb_values": "in_block", "total": "total"}.items()
+        ],
+    )
+    lower, upper = F.expr("(nb_values + 1) div 2"), F.expr("nb_values div 2 + 1")
+    return ranked.where((F.col("before") < upper) & (F.col("upto") >= lower)).select(
+        *group,
+        "block",
+        (lower - F.col("before")).alias("from_rank"),
+        (upper - F.col("before")).alias("to_rank"),
+        "nb_rows",
+        "nb_values",
+        "total",
+    )
 
 
-def amount_stats(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, nb_rows, nb_values, mean, median) for each group and measure."""
+def _middle_amounts(inside: DataFrame, group: list[str]) -> DataFrame:
+    """The middle amounts of each group as ``lower`` and ``upper``; a group without amounts keeps a row."""
+    upto = F.sum("valid").over(W.partitionBy(*group, "block").orderBy("units"))
+    middle = (
+        F.col("units").isNotNull()
+        & (F.col("upto") - F.col("valid") < F.col("to_rank"))
+        & (F.col("upto") >= F.col("from_rank"))
+    )
     return (
-        totals(counts, keys)
-        .join(median_ranks(counts, keys), [*keys, "measure"], "left")
-        .select(
-            *keys,
-            "measure",
-            "nb_rows",
-            "nb_values",
-            mean_amount(F.col("total_units"), F.col("nb_values")).alias("mean"),
-            median_amount(F.col("lower"), F.col("upper")).alias("median"),
-        )
+        inside.withColumn("upto", upto)
+        .where(middle | (F.col("nb_values") == 0))
+        .withColumn("lower", F.col("units"))
+        .withColumn("upper", F.col("units"))
     )
 
 
-def per_measure(value: str, measure: str) -> Column:
-    """In an aggregate over ``amount_stats`` rows: the ``value`` of one measure."""
-    return F.max(F.when(F.col("measure") == measure, F.col(value)))
+def _mean(total: Column, number: Column) -> Column:
+    """Mean of cents as an amount with six decimals, rounded half up; NULL for no values."""
+    euros = (total.cast("decimal(26,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(26,2)")
+    return F.try_divide(euros, number.cast("decimal(12,0)")).cast("decimal(16,6)")

@@ -6,91 +6,70 @@ and reduced to amount counts per commune; everything wider is added up from thos
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from toitscope.operators.medians import amount_stats
-from toitscope.plans.prices import one_row_per_key, sale_counts
-
-# Columns that name an area at each level, widest first.
-LEVELS = {
-    "national": [],
-    "region": ["region"],
-    "dept": ["region", "dept"],
-    "commune": ["region", "dept", "commune_id"],
-}
-AREA = LEVELS["commune"]
-
-
-def placed_counts(transactions: DataFrame, communes: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Amount counts per commune (and ``extra`` columns) with the region and department of each."""
-    counts = sale_counts(transactions, ["commune_id", *(extra or [])])
-    register = communes.select(F.col("code_insee").alias("commune_id"), "dept", "region")
-    return counts.join(register, "commune_id")
-
-
-def level_counts(placed: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Amount counts at every level; an area column that does not apply to a level is blank."""
-    extra = extra or []
-    rest = [*extra, "measure", "units"]
-    sets = [[F.col(c) for c in [*columns, *rest]] for columns in LEVELS.values()]
-    grouped = placed.groupingSets(sets, *AREA, *rest).agg(
-        F.sum("n").alias("n"), F.grouping_id(*AREA, *rest).alias("_bits")
-    )
-    # The bits of the columns always grouped are 0; shift them out.
-    bits = F.shiftright("_bits", len(rest))
-    level = F.coalesce(
-        *[
-            F.when(bits == (1 << (len(AREA) - len(columns))) - 1, F.lit(name))
-            for name, columns in LEVELS.items()
-        ]
-    )
-    return grouped.select(
-        F.coalesce(level, F.lit("")).alias("level"),
-        *[F.coalesce(name, F.lit("")).alias(name) for name in AREA],
-        *rest,
-        "n",
-    )
+from toitscope.operators.joins import small_side
+from toitscope.plans.prices import sale_counts, sale_stats
 
+AREA = ["region", "dept", "commune_id"]
+# Area columns that name an area at each level, widest first.
+LEVELS = {"national": AREA[:0], "region": AREA[:1], "dept": AREA[:2], "commune": AREA}
 
-def _blank_to_null(df: DataFrame) -> DataFrame:
-    """Area columns beyond a row's level become NULL (a blank region name stays)."""
-    for name in AREA:
-        uses = [level for level, columns in LEVELS.items() if name in columns]
-        df = df.withColumn(name, F.when(F.col("level").isin(uses), F.col(name)))
-    return df
+
+def area_members(communes: DataFrame) -> DataFrame:
+    """Each commune under its commune, department, region and the country.
+
+    An area column that does not apply to a level is blank.
+    """
+    own = {"region": F.col("region"), "dept": F.col("dept"), "commune_id": F.col("code_insee")}
+
+    def entry(level: str) -> Column:
+        parts = [
+            F.coalesce(own[name] if name in LEVELS[level] else F.lit(""), F.lit("")).alias(f"area_{name}")
+            for name in AREA
+        ]
+        return F.struct(F.lit(level).alias("level"), *parts)
+
+    entries = F.array(*[entry(level) for level in LEVELS])
+    return communes.select(F.col("code_insee").alias("commune_id"), F.inline(entries))
 
 
 def stats_by_level(transactions: DataFrame, communes: DataFrame) -> DataFrame:
     """Count, median and mean prices and mean surface of the country, each region, department, commune."""
-    keys = ["level", *AREA]
-    counts = level_counts(placed_counts(transactions, communes))
-    return _blank_to_null(one_row_per_key(amount_stats(counts, keys), keys))
+    counts = sale_counts(transactions, ["commune_id"])
+    stats = sale_stats(counts, ["commune_id"], small_side(area_members(communes)))
+
+    def applies(name: str) -> Column:
+        return F.col("level").isin([level for level, names in LEVELS.items() if name in names])
+
+    return stats.select(
+        "level",
+        *[F.when(applies(name), F.col(f"area_{name}")).alias(name) for name in AREA],
+        *[name for name in stats.columns if name != "level" and not name.startswith("area_")],
+    )
 
 
 def yearly_prices(transactions: DataFrame, communes: DataFrame, area: str = "dept") -> DataFrame:
     """Yearly median price per area and its change against the year before, absolute and in percent.
 
-    The change is NULL when the area has no sale in the year before.
+    ``area`` is a column of the register. The change is NULL when the area has no sale in the year before.
     """
-    dated = transactions.withColumn("annee", F.year("date_transaction"))
-    placed = placed_counts(dated, communes, ["annee"]).withColumn("area", F.coalesce(area, F.lit("")))
-    keys = ["area", "annee"]
-    counts = placed.groupBy(*keys, "measure", "units").agg(F.sum("n").alias("n"))
-    yearly = one_row_per_key(amount_stats(counts, keys), keys).select(*keys, "nb_transactions", "prix_median")
+    counts = sale_counts(transactions.withColumn("annee", F.year("date_transaction")), ["commune_id", "annee"])
+    members = communes.select(F.col("code_insee").alias("commune_id"), F.coalesce(area, F.lit("")).alias("area"))
+    yearly = sale_stats(counts, ["commune_id", "annee"], small_side(members))
     by_year = W.partitionBy("area").orderBy("annee")
     adjacent = F.lag("annee").over(by_year) == F.col("annee") - 1
-    before = F.when(adjacent, F.lag("prix_median").over(by_year))
-    return yearly.withColumn("prix_median_before", before).select(
-        *keys,
+    change = F.col("prix_median") - F.col("prix_median_before")
+    return yearly.withColumn("prix_median_before", F.when(adjacent, F.lag("prix_median").over(by_year))).select(
+        "area",
+        "annee",
         "nb_transactions",
         "prix_median",
         "prix_median_before",
-        F.round(F.col("prix_median") - F.col("prix_median_before"), 3).alias("change"),
-        F.round(
-            F.try_divide(100 * (F.col("prix_median") - F.col("prix_median_before")), F.col("prix_median_before")), 4
-        ).alias("change_pct"),
+        F.round(change, 3).alias("change"),
+        F.round(F.try_divide(100 * change, F.col("prix_median_before")), 4).alias("change_pct"),
     )
 
 
@@ -99,9 +78,8 @@ def area_against_parent(transactions: DataFrame, communes: DataFrame) -> DataFra
 
     ``rank_pct`` is 0 for the cheapest commune of a department and 1 for the dearest.
     """
-    levels = stats_by_level(transactions, communes)
-    medians = levels.select("level", *AREA, "prix_median")
-    dept = medians.where(F.col("level") == "dept").select(
+    medians = stats_by_level(transactions, communes).where(F.col("level") != "region")
+    per_dept = medians.where(F.col("level") == "dept").select(
         "region", "dept", F.col("prix_median").alias("dept_median")
     )
     national = medians.where(F.col("level") == "national").select("prix_median")
@@ -109,7 +87,7 @@ def area_against_parent(transactions: DataFrame, communes: DataFrame) -> DataFra
         "region", "dept", "commune_id", "prix_median", national.scalar().alias("national_median")
     )
     within = W.partitionBy("region", "dept").orderBy("prix_median")
-    return here.join(dept, ["region", "dept"]).select(
+    return here.join(per_dept, ["region", "dept"]).select(
         "commune_id",
         "dept",
         "prix_median",

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toitscope.functions.measures import months_before
-from toitscope.operators.medians import amount_counts, amount_stats, per_measure
+from toitscope.operators.medians import amount_counts, amount_stats
 from toitscope.operators.ranking import top
 
 WINDOW_MONTHS = 12
-AMOUNTS = ["prix", "prix_m2", "surface"]
+# Amounts of a sale and the cents per block when their median is looked for.
+AMOUNTS = {"prix": 100_000, "prix_m2": 1_000, "surface": 1_000}
 
 
 def trailing_year(transactions: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -26,17 +27,20 @@ def trailing_year(transactions: DataFrame, as_of: Column | None = None) -> DataF
 def sale_counts(transactions: DataFrame, keys: list[str]) -> DataFrame:
     """How often each price, price per m2 and surface occurs per key; one pass over the sales."""
     placed = transactions.where(F.col("commune_id").isNotNull())
-    return amount_counts(placed, keys, {name: F.col(name) for name in AMOUNTS})
-
-
-def one_row_per_key(stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Price columns side by side from per-measure rows."""
-    return stats.groupBy(*keys).agg(
-        per_measure("nb_rows", "prix").alias("nb_transactions"),
-        per_measure("median", "prix").alias("prix_median"),
-        per_measure("median", "prix_m2").alias("prix_m2_median"),
-        per_measure("mean", "prix").alias("prix_moyen"),
-        per_measure("mean", "surface").alias("surface_moyenne"),
+    return amount_counts(placed, keys, list(AMOUNTS))
+
+
+def sale_stats(counts: DataFrame, keys: list[str], members: DataFrame | None = None) -> DataFrame:
+    """Price columns per group; see ``amount_stats`` for keys and members."""
+    stats = amount_stats(counts, keys, AMOUNTS, members)
+    figures = ["nb_rows", *[f"{name}_{kind}" for name in AMOUNTS for kind in ("mean", "median")]]
+    return stats.select(
+        *[name for name in stats.columns if name not in figures],
+        F.col("nb_rows").alias("nb_transactions"),
+        F.col("prix_median"),
+        F.col("prix_m2_median"),
+        F.col("prix_mean").alias("prix_moyen"),
+        F.col("surface_mean").alias("surface_moyenne"),
     )
 
 
@@ -46,8 +50,7 @@ def price_stats(transactions: DataFrame, communes: DataFrame, as_of: Column | No
     Sales are reduced to one row per commune before they meet the register, so the sales themselves are
     never joined.
     """
-    counts = sale_counts(trailing_year(transactions, as_of), ["commune_id"])
-    figures = one_row_per_key(amount_stats(counts, ["commune_id"]), ["commune_id"])
+    figures = sale_stats(sale_counts(trailing_year(transactions, as_of), ["commune_id"]), ["commune_id"])
     register = communes.select(
         F.col("code_insee").alias("commune_id"), F.col("nom").alias("commune_nom"), "dept", "region"
     )
@@ -70,13 +73,13 @@ def department_prices(transactions: DataFrame, communes: DataFrame) -> DataFrame
         F.count("*").alias("nb"), F.count("prix").alias("nb_prix"), F.sum("prix").alias("total")
     )
     register = communes.select(F.col("code_insee").alias("commune_id"), "dept")
-    total, prices = F.sum("total"), F.sum("nb_prix").cast("decimal(12,0)")
+    total, number = F.sum("total").cast("decimal(26,2)"), F.sum("nb_prix").cast("decimal(12,0)")
     return (
         per_commune.join(register, "commune_id")
         .groupBy("dept")
         .agg(
             F.sum("nb").alias("nb_transactions"),
-            F.try_divide(total.cast("decimal(26,2)"), prices).cast("decimal(16,6)").alias("prix_moyen"),
+            F.try_divide(total, number).cast("decimal(16,6)").alias("prix_moyen"),
         )
     )
 
