@@ -303,8 +303,8 @@ def income_from_csv(t: Tables) -> DataFrame:
 @registered
 def dept_union_load(t: Tables) -> DataFrame:
     register = t.communes().select(F.col("code_insee").alias("commune_id"), "dept")
-    chosen = landing.in_folders(register, departments=DEPARTMENTS)
-    return t.sales().join(chosen, "commune_id").select("commune_id", "dept", "date_transaction", "prix", "surface")
+    wanted = register.where(landing.chosen(departments=DEPARTMENTS))
+    return t.sales().join(wanted, "commune_id").select("commune_id", "dept", "date_transaction", "prix", "surface")
 
 
 @registered

@@ -10,7 +10,7 @@ Every source comes out as text columns plus
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +60,20 @@ def read_delimited(
     separator: str | None = None,
     glob: str | None = None,
     multi_line: bool = False,
+    folders: Column | None = None,
 ) -> DataFrame:
-    """Batch read of one source. ``multi_line`` allows line breaks in quotes but stops file splitting."""
+    """Batch read of one source. ``multi_line`` allows line breaks in quotes but stops file splitting.
+
+    ``folders`` is a condition on the folder columns. It applies before rows are numbered: a filter put on the
+    result would not get past the numbering and every file would be opened.
+    """
     separator = separator or source.separator
     schema = header_schema(spark, path, separator, glob)
     reader = spark.read.schema(with_corrupt(schema)).options(**csv_options(separator, multi_line))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return shape(reader.csv(path), schema, source)
+    scanned = reader.csv(path)
+    return shape(scanned if folders is None else scanned.where(folders), schema, source)
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:

@@ -7,7 +7,10 @@ a year or department choice prunes folders before any file is opened.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toitscope.operators.ranking import first_n_per_group
@@ -34,10 +37,14 @@ def read_transactions(
     separator: str | None = None,
     glob: str = "*.csv",
 ) -> DataFrame:
-    raw = read_delimited(
-        spark, f"{root}/transactions", TRANSACTIONS_SOURCE, separator=separator, glob=glob
+    return read_delimited(
+        spark,
+        f"{root}/transactions",
+        TRANSACTIONS_SOURCE,
+        separator=separator,
+        glob=glob,
+        folders=chosen(years, departments),
     )
-    return in_folders(raw, years, departments)
 
 
 def read_population(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -54,18 +61,19 @@ def read_dpe(
     departments: list[str] | None = None,
     glob: str = "*.csv",
 ) -> DataFrame:
-    return in_folders(read_delimited(spark, f"{root}/dpe", DPE_SOURCE, glob=glob), None, departments)
+    return read_delimited(
+        spark, f"{root}/dpe", DPE_SOURCE, glob=glob, folders=chosen(None, departments)
+    )
 
 
-def in_folders(
-    df: DataFrame, years: list[int] | None = None, departments: list[str] | None = None
-) -> DataFrame:
-    """Keep the given years and departments; ``None`` or an empty list means all of them."""
+def chosen(years: list[int] | None = None, departments: list[str] | None = None) -> Column | None:
+    """Condition for the given years and departments; ``None`` or an empty list means all of them."""
+    conditions = []
     if years:
-        df = df.where(F.col("year").isin([str(year) for year in years]))
+        conditions.append(F.col("year").isin([str(year) for year in years]))
     if departments:
-        df = df.where(F.col("dept").isin(departments))
-    return df
+        conditions.append(F.col("dept").isin(departments))
+    return reduce(and_, conditions) if conditions else None
 
 
 def by_postal_prefix(
