@@ -73,15 +73,26 @@ def read_delimited(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     scanned = reader.csv(path)
-    return shape(scanned if folders is None else scanned.where(folders), schema, source)
+    if folders is not None:
+        scanned = scanned.where(folders)
+    return shape(located(scanned), schema, source)
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def located(scanned: DataFrame) -> DataFrame:
+    """Adds the file and the block of the file each row of a scan comes from."""
+    return scanned.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
+
+
 def shape(scanned: DataFrame, schema: T.StructType, source: Source) -> DataFrame:
-    """Pick the source's columns out of a scan (batch or streaming) and mark damaged rows."""
+    """Pick the source's columns out of a ``located`` scan, number the rows and mark damaged ones."""
     present = set(schema.names)
     missing = [name for name in source.required if name not in present]
     if missing:
@@ -99,8 +110,8 @@ def shape(scanned: DataFrame, schema: T.StructType, source: Source) -> DataFrame
         *[text(name).alias(name) for name in wanted],
         *folders,
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
+            F.col("_file").alias("file"),
+            F.col("_block").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("_pos"),
         F.when(short, F.lit("short_row")).when(garbled, F.lit("bad_encoding")).alias("_damage"),

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamReader
 
 from toitscope.schemas import Source
 from toitscope.session import shared_folder
-from toitscope.sources.delimited import csv_options, header_schema, shape, with_corrupt
+from toitscope.sources.delimited import csv_options, header_schema, located, shape, with_corrupt
 
 
 def ingest(
@@ -43,21 +43,6 @@ def stream_reader(spark: SparkSession, glob: str, files_per_batch: int | None =
     return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
-def stream_delimited(
-    spark: SparkSession,
-    path: str,
-    source: Source,
-    separator: str | None = None,
-    glob: str = "*.csv",
-    files_per_batch: int | None = None,
-) -> DataFrame:
-    """Landed delimited files as a stream, shaped like the batch read. A deviating header stops the run."""
-    separator = separator or source.separator
-    schema = header_schema(spark, path, separator, glob, folders=False)
-    reader = stream_reader(spark, glob, files_per_batch).schema(with_corrupt(schema))
-    return shape(reader.options(**csv_options(separator)).csv(path), schema, source)
-
-
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None
 ) -> DataFrame:
@@ -71,8 +56,20 @@ def ingest_delimited(
     clean: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str | None = None,
-    **options,
+    separator: str | None = None,
+    glob: str = "*.csv",
+    files_per_batch: int | None = None,
 ) -> None:
-    """Clean and store every file under ``path`` that no earlier run took."""
-    stream = stream_delimited(spark, path, source, **options)
-    ingest(stream, target, clean, checkpoint or f"{shared_folder(spark)}/ingest-{source.name}")
+    """Clean and store every delimited file under ``path`` that no earlier run took.
+
+    ``clean`` gets rows shaped as by the batch read. A header that differs from the first file's stops the run.
+    """
+    separator = separator or source.separator
+    schema = header_schema(spark, path, separator, glob, folders=False)
+    reader = stream_reader(spark, glob, files_per_batch).schema(with_corrupt(schema))
+    stream = located(reader.options(**csv_options(separator)).csv(path))
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return clean(shape(batch, schema, source))
+
+    ingest(stream, target, prepare, checkpoint or f"{shared_folder(spark)}/ingest-{source.name}")
