@@ -55,9 +55,3 @@ def any_of(*conditions: Column) -> Column:
     for condition in conditions[1:]:
         out = out | condition
     return out
-
-
-def all_or_none(parsed: dict[str, Column], raw: dict[str, Column]) -> dict[str, Column]:
-    """Fields that stand or fall together: one failed conversion makes all of them NULL."""
-    broken = any_of(*[unreadable(raw[name], value) for name, value in parsed.items()])
-    return {name: F.when(~broken, value) for name, value in parsed.items()}

@@ -7,13 +7,14 @@ Numbers stay wide (double) until ``integrity.narrow`` so that a value out of the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toitscope.functions.labels import building_type, energy_class, property_type
 from toitscope.functions.measures import price_per_m2
 from toitscope.functions.text import (
-    all_or_none,
     any_of,
     field,
     joined_field,
@@ -23,7 +24,7 @@ from toitscope.functions.text import (
     unreadable,
 )
 from toitscope.operators.ranking import latest_per_key
-from toitscope.schemas import TABLES
+from toitscope.schemas import ENERGY_CLASSES, TABLES
 
 BLANK, BAD_VALUE, BAD_LABEL = "blank_required", "unreadable_value", "unknown_label"
 
@@ -47,6 +48,17 @@ def _kept(screened: DataFrame) -> DataFrame:
     return screened.select(F.inline(F.when(F.col("_reject").isNull(), F.array(F.struct(*columns)))))
 
 
+def _all_or_none(texts: DataFrame, readers: dict[str, tuple[str, Callable[[Column], Column]]]) -> DataFrame:
+    """Adds the fields of ``readers`` (name: text column, conversion), which stand or fall together:
+    one failed conversion makes all of them NULL. Each text is converted once.
+    """
+    parsed = texts.select("*", *[read(F.col(text)).alias(f"_{name}") for name, (text, read) in readers.items()])
+    broken = any_of(*[unreadable(F.col(text), F.col(f"_{name}")) for name, (text, _) in readers.items()])
+    return parsed.withColumn("_broken", broken).select(
+        *texts.columns, *[F.when(~F.col("_broken"), F.col(f"_{name}")).alias(name) for name in readers]
+    )
+
+
 def _place(raw: DataFrame) -> list[str]:
     return [name for name in ("_pos",) if name in raw.columns]
 
@@ -63,16 +75,16 @@ def screen_communes(raw: DataFrame) -> DataFrame:
         *_damage(raw),
         *_place(raw),
     )
-    raw_point = {"latitude": F.col("lat"), "longitude": F.col("lon")}
-    point = all_or_none({name: to_double(text) for name, text in raw_point.items()}, raw_point)
-    return texts.select(
+    located = _all_or_none(texts, {"latitude": ("lat", to_double), "longitude": ("lon", to_double)})
+    return located.select(
         "code_insee",
         "nom",
         "dept",
         "region",
-        *[value.alias(name) for name, value in point.items()],
+        "latitude",
+        "longitude",
         *_place(raw),
-        _reject(texts, (_blank(F.col("code_insee"), F.col("nom"), F.col("dept")), BLANK)).alias("_reject"),
+        _reject(located, (_blank(F.col("code_insee"), F.col("nom"), F.col("dept")), BLANK)).alias("_reject"),
     )
 
 
@@ -154,32 +166,31 @@ def screen_dpe(raw: DataFrame) -> DataFrame:
         *_damage(raw),
         *_place(raw),
     )
-    raw_figures = {
-        "emissions_co2": F.col("ges"),
-        "consommation_energie": F.col("conso"),
-        "annee_construction": F.col("annee"),
-        "surface": F.col("surf"),
-        "date_etablissement": F.col("jour"),
-    }
-    readers = {"annee_construction": to_int, "date_etablissement": to_date}
-    figures = all_or_none(
-        {name: readers.get(name, to_double)(text) for name, text in raw_figures.items()}, raw_figures
+    figured = _all_or_none(
+        texts,
+        {
+            "emissions_co2": ("ges", to_double),
+            "consommation_energie": ("conso", to_double),
+            "annee_construction": ("annee", to_int),
+            "surface": ("surf", to_double),
+            "date_etablissement": ("jour", to_date),
+        },
     )
-    known = energy_class(F.col("dpe"))
-    return texts.select(
+    known = F.col("dpe").isin(ENERGY_CLASSES)
+    return figured.select(
         "commune_id",
-        known.alias("classe_energetique"),
+        F.when(known, F.col("dpe")).alias("classe_energetique"),
         "classe_ges",
-        figures["emissions_co2"].alias("emissions_co2"),
-        figures["consommation_energie"].alias("consommation_energie"),
+        "emissions_co2",
+        "consommation_energie",
         "type_batiment",
-        figures["annee_construction"].alias("annee_construction"),
-        figures["surface"].alias("surface"),
-        figures["date_etablissement"].alias("date_etablissement"),
+        "annee_construction",
+        "surface",
+        "date_etablissement",
         *_place(raw),
-        _reject(
-            texts, (_blank(F.col("commune_id"), F.col("dpe")), BLANK), (known.isNull(), BAD_LABEL)
-        ).alias("_reject"),
+        _reject(figured, (_blank(F.col("commune_id"), F.col("dpe")), BLANK), (~known, BAD_LABEL)).alias(
+            "_reject"
+        ),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from toitscope.operators.joins import small_side
+from toitscope.operators.storage import staged
 from toitscope.plans.prices import sale_counts, sale_stats
 
 AREA = ["region", "dept", "commune_id"]
@@ -78,7 +79,8 @@ def area_against_parent(transactions: DataFrame, communes: DataFrame) -> DataFra
 
     ``rank_pct`` is 0 for the cheapest commune of a department and 1 for the dearest.
     """
-    medians = stats_by_level(transactions, communes).where(F.col("level") != "region")
+    # One row per area, read three times below: compute it once.
+    medians = staged(stats_by_level(transactions, communes).select("level", *AREA, "prix_median"), "areas")
     per_dept = medians.where(F.col("level") == "dept").select(
         "region", "dept", F.col("prix_median").alias("dept_median")
     )

@@ -7,7 +7,6 @@ lost executor costs a re-read of them and never a second parse.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -26,10 +25,9 @@ from toitscope.operators.integrity import cascade_delete, mark_orphans, narrow,
 from toitscope.operators.keyed import insert_unique, not_yet_loaded, upsert
 from toitscope.operators.ledger import FAILED, SUCCESS, log_event, start_run
 from toitscope.operators.ranking import latest_per_key
-from toitscope.operators.storage import append, read_table, replace, with_defaults
+from toitscope.operators.storage import append, read_table, replace, staged, with_defaults
 from toitscope.plans.views import EVENTS_FOLDER
 from toitscope.schemas import CHILD_TABLES, TABLES, UNIQUE_KEYS
-from toitscope.session import shared_folder
 from toitscope.sources import landing
 
 ORPHAN = "commune_unknown"
@@ -70,15 +68,6 @@ def judged(screened: DataFrame, table: str, communes: DataFrame | None = None) -
     return checked.withColumn("violations", broken).drop("_reject", "_orphan")
 
 
-def staged(df: DataFrame, name: str, split: str | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back, in folders by the text column ``split``."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staging/{name}-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(split) if split else df.write
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def outcome(rows: DataFrame) -> LoadResult:
     """Rows to write, rows rejected, and how often each reason occurs."""
     good = rows.where(F.col("good") == "true").count()
