@@ -14,6 +14,8 @@ def first_n_per_group(
 ) -> DataFrame:
     """First ``n`` rows of each group in a total ``order``; all rows when ``n`` is ``None`` or 0.
 
+    Without ``keys`` the whole frame is one group.
+
     A group of any size never meets in one task: each input task keeps at most ``n`` rows of a group,
     ``lanes`` tasks cut those down, and the last step sees at most ``lanes * n`` rows of a group.
     """

@@ -86,9 +86,7 @@ def by_postal_prefix(
 
 def first_rows(raw: DataFrame, cap: int | None, order=None) -> DataFrame:
     """The first ``cap`` raw rows, valid or not; no cap when it is ``None`` or 0."""
-    if not cap:
-        return raw
-    return raw.orderBy(F.col("_pos") if order is None else order).limit(cap)
+    return first_n_per_group(raw, [], [F.col("_pos") if order is None else order], cap)
 
 
 def first_rows_per_department(raw: DataFrame, cap: int | None, order=None) -> DataFrame:
