@@ -211,13 +211,21 @@ TYPE_BIEN = """CASE label WHEN 'Maison' THEN 'maison' WHEN 'Appartement' THEN 'a
     WHEN 'Dépendance' THEN 'dependance' WHEN 'Local industriel. commercial ou assimilé' THEN 'local_commercial'
     ELSE 'autre' END"""
 
-ORACLE["clean_transactions"] = f"""WITH {TX_PARSED}
-SELECT code AS commune_id, d AS date_transaction, v AS prix, s AS surface,
+TX_COLUMNS = f"""code AS commune_id, d AS date_transaction, v AS prix, s AS surface,
   CASE WHEN s > 0 THEN CAST({half_up("CAST(round(v * 100) AS BIGINT)", "CAST(s AS BIGINT)")} AS DOUBLE) / 100 END
     AS prix_m2,
-  {TYPE_BIEN} AS type_bien, n AS nombre_pieces, nature_mutation, adresse, code_postal
-FROM judged WHERE reason = 'loaded'"""
+  {TYPE_BIEN} AS type_bien, n AS nombre_pieces, nature_mutation, adresse, code_postal"""
+ORACLE["clean_transactions"] = f"WITH {TX_PARSED} SELECT {TX_COLUMNS} FROM judged WHERE reason = 'loaded'"
 ORACLE["transactions_from_csv"] = ORACLE["clean_transactions"]
+ORACLE["stored_transactions"] = f"""WITH {TX_PARSED}
+SELECT {TX_COLUMNS}, CAST(year(d) AS INTEGER) AS year FROM judged
+WHERE reason = 'loaded' AND length(code) <= 5 AND code IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)"""
+ORACLE["quarantined_transactions"] = f"""WITH {TX_PARSED}, reasons AS (
+  SELECT unnest(CASE WHEN reason <> 'loaded' THEN [reason] ELSE
+    [CASE WHEN length(code) > 5 THEN 'commune_id_length' END,
+     CASE WHEN length(code) > 5 OR code NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)
+       THEN 'commune_unknown' END] END) AS violation FROM judged)
+SELECT violation, count(*) AS nb_rows FROM reasons WHERE violation IS NOT NULL GROUP BY violation"""
 
 ORACLE["rejected_transactions"] = f"""WITH {TX_PARSED}
 SELECT reason, count(*) AS nb_rows FROM judged GROUP BY reason"""

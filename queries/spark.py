@@ -16,7 +16,7 @@ from toitscope.functions.labels import building_type, property_type
 from toitscope.functions.measures import json_or_null, price_per_m2
 from toitscope.functions.text import field
 from toitscope.operators import cleaning, integrity, keyed, ledger, ranking, storage
-from toitscope.plans import areas, energy, indicators, prices, terms
+from toitscope.plans import areas, energy, indicators, loading, prices, terms
 from toitscope.session import shared_folder
 from toitscope.sources import landing
 from toitscope.sources import tables as sql_tables
@@ -300,6 +300,42 @@ def income_from_csv(t: Tables) -> DataFrame:
     return cleaning.clean_income(_placed(landed(t, schemas.INCOME_SOURCE, raw.INCOME, "part")))
 
 
+def loaded(t: Tables) -> tuple[str, loading.LoadResult]:
+    """Register and sales landed as files and loaded into a fresh warehouse."""
+    root = f"{shared_folder(t.spark)}/load-{uuid.uuid4().hex}"
+    exact = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    register = t.communes().select(
+        F.col("code_insee").alias("com_code"),
+        F.col("nom").alias("com_nom"),
+        F.col("dept").alias("dep_code"),
+        F.col("region").alias("reg_nom"),
+        F.lit("46.5").alias("latitude"),
+        F.lit("").alias("longitude"),
+    )
+    # Departments of the stand-in are longer than a code may be: keep what follows the underscore.
+    register = register.withColumn("dep_code", F.substring_index("dep_code", "_", -1))
+    register.write.options(**exact).csv(f"{root}/in/communes")
+    sales = t.raw(raw.TRANSACTIONS, "lineitem")
+    sales.write.options(**exact, sep="|").csv(f"{root}/in/transactions/year=2001/dept=all")
+    loading.load_communes(t.spark, f"{root}/in", f"{root}/warehouse")
+    result = loading.load_transactions(t.spark, f"{root}/in", f"{root}/warehouse", [2001])
+    return f"{root}/warehouse", result
+
+
+@registered
+def stored_transactions(t: Tables) -> DataFrame:
+    """Files to stored sales: parsed, checked against rules and register, appended, read back."""
+    warehouse, _ = loaded(t)
+    return storage.read_table(t.spark, warehouse, "transactions").drop("created_at")
+
+
+@registered
+def quarantined_transactions(t: Tables) -> DataFrame:
+    warehouse, _ = loaded(t)
+    rows = t.spark.read.parquet(f"{warehouse}/quarantine").where(F.col("table_name") == "transactions")
+    return integrity.violation_counts(rows)
+
+
 @registered
 def dept_union_load(t: Tables) -> DataFrame:
     register = t.communes().select(F.col("code_insee").alias("commune_id"), "dept")
