@@ -206,11 +206,18 @@ def load_dpe(
     warehouse: str,
     departments: list[str] | None = None,
     cap: int | None = None,
+    postal_prefix: str | None = None,
     on_violation: str = "quarantine",
 ) -> LoadResult:
-    """Append diagnoses; ``cap`` counts raw rows per department, or of the whole source without a choice."""
+    """Append diagnoses; ``cap`` counts raw rows per department, or of the whole source without a choice.
+
+    ``postal_prefix`` takes only rows whose postal code starts with it; Corsican departments (2A, 2B) have no
+    such prefix, so choose those by folder.
+    """
     raw = landing.read_dpe(spark, root, departments)
-    if departments:
+    if postal_prefix:
+        raw = landing.by_postal_prefix(raw, postal_prefix, cap)
+    elif departments:
         raw = landing.first_rows_per_department(raw, cap)
     else:
         raw = landing.first_rows(raw, cap)
