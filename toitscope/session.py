@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -30,15 +28,16 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    A throw-away local folder is used only when the setting is absent and the master is local.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``; an error when the setting is absent."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="toitscope-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    return named.rstrip("/")
+
+
+def name_shared_folder(spark: SparkSession) -> str:
+    """For callers without a cluster setting: names a folder beside the tables of the session's warehouse."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.conf.set("spark.checkpoint.dir", f"{warehouse}/shared")
+    return shared_folder(spark)
