@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -112,57 +112,62 @@ class Encoder:
 
     def __init__(self, merges: Merges, pattern: str, cache_words: int = CACHE_WORDS):
         self.merges, self.find, self.cache_words = merges, regex.compile(pattern).findall, cache_words
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of a word with one space before it
+        self.bare: dict[str, bytes] = {}  # ids of other matches
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.split(" ") for text in texts]
-        fresh = set().union(*split) - self.words.keys()
+        unmet = [set(words).difference(self.words) for words in split]
+        fresh = set().union(*unmet)
         crossing = {w for w in fresh if not w or w[0].isspace() or len(w) > CACHE_CHARS}
         # The first word has no space before it; it and the texts with crossing matches take the pattern directly.
-        direct = [
-            text if crossing and not crossing.isdisjoint(words) else words[0]
-            for text, words in zip(texts, split, strict=True)
+        whole = [bool(crossing) and not crossing.isdisjoint(words) for words in unmet]
+        found = [
+            self.find(text if direct else words[0]) for text, words, direct in zip(texts, split, whole, strict=True)
         ]
-        found = [self.find(text) for text in direct]
         fresh -= crossing
-        plain = [word for word in fresh if word.isalpha()]
+        words, bare = self.words, self.bare
+        plain = {word for word in fresh if word.isalpha()}
         ended = [word for word in fresh if word[-1] in ",." and word[:-1].isalpha()]
-        fresh.difference_update(plain, ended)
+        fresh -= plain
+        fresh.difference_update(ended)
+        plain.update([w for w in [word[:-1] for word in ended] if w not in words])
+        some = list(plain)
+        words.update(zip(some, self.merge([b" " + word.encode() for word in some]), strict=True))
         inner = [self.find(" " + word) for word in fresh]
-        ids = self.merged(
-            {",", "."}.union([" " + w for w in plain], [" " + w[:-1] for w in ended], *found, *inner)
-        )
-        self.words.update([(word, ids[" " + word]) for word in plain])
-        self.words.update([(word, ids[" " + word[:-1]] + ids[word[-1]]) for word in ended])
-        self.words.update(
-            (word, b"".join([ids[part] for part in parts])) for word, parts in zip(fresh, inner, strict=True)
-        )
-        known = self.words.__getitem__
-        out = []
-        for text, words, parts, head in zip(texts, split, found, direct, strict=True):
-            first = b"".join([ids[part] for part in parts])
-            whole = head is text and not (crossing.isdisjoint(words))
-            out.append(first if whole else first + b"".join(map(known, words[1:])))
-        if len(self.words) > self.cache_words:
-            self.words.clear()
+        parts = {",", "."}.union(*found, *inner).difference(bare)
+        bare.update([(part, words[part[1:]]) for part in parts if part[0] == " " and part[1:] in words])
+        some = list(parts.difference(bare))
+        bare.update(zip(some, self.merge([part.encode("utf-8", "surrogatepass") for part in some]), strict=True))
+        ids = bare.__getitem__
+        words.update([(word, words[word[:-1]] + bare[word[-1]]) for word in ended])
+        words.update([(word, b"".join(map(ids, parts))) for word, parts in zip(fresh, inner, strict=True)])
+        known = words.__getitem__
+        out = [
+            b"".join(map(ids, parts)) + (b"" if direct else b"".join(map(known, row[1:])))
+            for row, parts, direct in zip(split, found, whole, strict=True)
+        ]
+        for part in [part for part in some if len(part) > CACHE_CHARS]:
+            del bare[part]
+        if len(words) > self.cache_words:
+            words.clear()
+        if len(bare) > self.cache_words // 4:
+            bare.clear()
         return out
 
-    def merged(self, parts: Iterable[str]) -> dict[str, bytes]:
-        """Ids of each distinct match."""
-        by_width: dict[int, tuple[list[str], list[bytes]]] = {}
-        out = {}
-        for part in parts:
-            data = part.encode("utf-8", "surrogatepass")
-            if len(data) > WIDEST:
-                out[part] = self.merge_long(data)
-            else:
-                group = by_width.setdefault(max(2, 1 << (len(data) - 1).bit_length()), ([], []))
-                group[0].append(part)
-                group[1].append(data)
-        for width, (names, words) in by_width.items():
-            step = max(1, LOCKSTEP_BYTES // width)
-            for i in range(0, len(words), step):
-                out.update(zip(names[i : i + step], self.merge_many(words[i : i + step], width)))
+    def merge(self, data: list[bytes]) -> list[bytes]:
+        """Ids of each match."""
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        width = np.exp2(np.ceil(np.log2(np.maximum(size, 2)))).astype(np.int64)
+        out = [b""] * len(data)
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w).tolist()
+            step = max(1, LOCKSTEP_BYTES // w)
+            for i in range(0, len(at), step):
+                group = [data[k] for k in at[i : i + step]]
+                merged = [self.merge_long(x) for x in group] if w > WIDEST else self.merge_many(group, w)
+                for k, ids in zip(at[i : i + step], merged, strict=True):
+                    out[k] = ids
         return out
 
     def merge_many(self, words: list[bytes], width: int) -> list[bytes]:

@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toitscope.llm import bpe, exact_dedup
+from toitscope.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    labelled,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    toxicity,
+    warc,
+)
 from toitscope.sources.tables import parquet_table
 
 REGISTRY = {}
@@ -31,6 +43,83 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text without the passages that stand earlier in the corpus."""
+    docs = parquet_table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    cleaned = line_dedup.drop_repeated_lines(docs)
+    size = lambda name: F.octet_length(F.coalesce(name, F.lit(""))).cast("bigint")
+    return cleaned.select("doc_id", "text", (size("before") - size("text")).alias("bytes_removed"))
+
+
+@registered
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens in sequences of at most 2048."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    parts = packing.pieces(parquet_table(spark, folder, "documents"), tokenizer, public_tokenizers.PATTERN)
+    return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@registered
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of one label whose cosine is 0.98 or more, as counts of links and components."""
+    return embedding_dedup.near_vectors(parquet_table(spark, folder, "embeddings"))
+
+
+def _scored(docs: DataFrame, score, threshold: float) -> DataFrame:
+    scored = docs.select("doc_id", labelled.held_out("doc_id").alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+@registered
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = parquet_table(spark, folder, "documents")
+    forest = quality.fit(docs, parquet_table(spark, folder, "labels"))
+    return _scored(docs, quality.score("text", forest), quality.THRESHOLD)
+
+
+@registered
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    pages = parquet_table(spark, folder, "pages")
+    kind = pages.schema["page_id"].dataType
+    records = warc.read_records(warc.write_archives(pages), with_payload=False)
+    return records.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+@registered
+def op7_minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that share 85 % of their three-word shingles, as components."""
+    found = near_dedup.near_texts(parquet_table(spark, folder, "documents"), shingle_words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@registered
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence of every document, its own or of a directory above.
+
+    Documents have no paths, so each gets one from its source and id: directories of 512 documents, in them
+    directories of 64, and the first document of a directory is its licence file.
+    """
+    docs = parquet_table(spark, folder, "documents")
+    outer, inner = F.floor(F.col("doc_id") / 512), F.floor(F.col("doc_id") / 64)
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    path = (
+        F.when(F.col("doc_id") % 512 == 0, F.concat_ws("/", "source", outer, F.lit("LICENSE")))
+        .when(F.col("doc_id") % 64 == 0, F.concat_ws("/", "source", outer, inner, F.lit("LICENSE")))
+        .otherwise(F.concat_ws("/", "source", outer, inner, name))
+    )
+    placed = docs.select("doc_id", "text", F.when(F.col("source").isNotNull() & F.col("doc_id").isNotNull(), path).alias("path"))
+    return licenses.scan(placed)
+
+
 @registered
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Equal texts; the contract asks for the digest of every row, so all are taken in the first scan."""
@@ -38,6 +127,35 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@registered
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = parquet_table(spark, folder, "documents")
+    model = toxicity.fit(docs, parquet_table(spark, folder, "labels"))
+    return _scored(docs, toxicity.score("text", model), toxicity.THRESHOLD)
+
+
+#: SHA-1 in base 32: every letter stands for five bits, taken from the two or three hexadecimal digits around them.
+ORACLE["op6_warc"] = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) || '00' AS hex FROM pages
+), named AS (
+  SELECT page_id, payload_bytes,
+         list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+           (((instr('0123456789abcdef', substr(hex, (5 * i) // 4 + 1, 1)) - 1) * 256
+             + (instr('0123456789abcdef', substr(hex, (5 * i) // 4 + 2, 1)) - 1) * 16
+             + (instr('0123456789abcdef', substr(hex, (5 * i) // 4 + 3, 1)) - 1))
+            // (2 ** (7 - (5 * i) % 4))::BIGINT) % 32)::BIGINT, 1) FOR i IN range(32)], 'string_agg', '') AS payload_digest
+  FROM payloads
+), ranked AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM named
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM ranked
+"""
+
 ORACLE["op9_exact_dedup"] = """
 WITH bodies AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
