@@ -63,14 +63,16 @@ def copies(
         single = rows.join(alive, ["size", "prefix"], "left_anti")
         rows = survivors.unionByName(single.withColumn("full", F.lit(None).cast("string")))
     # Full hash and length alone name a group, and unlike the key of the join above they need a shuffle of their own:
-    # Spark can then split a hot length and prefix, and partial groups are what it sends.
-    groups = (
+    # Spark can then split a hot length and prefix, and partial groups are what it sends. Groups are stored so that
+    # the last join reads both its sides from shuffles, which lets it split a hot text.
+    groups = staged(
         survivors.groupBy("full", "size")
         .agg(
             F.count("*").alias("n"),
             F.min(F.struct((-F.col("points")).alias("longest"), F.col("doc_id").isNull().alias("unnamed"), "doc_id")).alias("stays"),
         )
-        .where("n > 1")
+        .where("n > 1"),
+        "copies-groups",
     )
     alone = F.col("n").isNull()
     keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("stays.doc_id"))
