@@ -71,9 +71,8 @@ ORACLE["energy_stats_commune"] = f"""WITH {COMMUNES}, dpe AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS commune_id, chr(64 + l_linenumber) AS classe,
          CAST(l_quantity AS BIGINT) * 100 AS conso, CAST(round(l_tax * 100) AS BIGINT) AS ges FROM lineitem)
 SELECT commune_id, nom AS commune_nom, count(*) AS nb_dpe,
-  count(CASE WHEN classe IN ('A', 'B', 'C') THEN 1 END) AS nb_bonne_perf,
-  count(CASE WHEN classe IN ('F', 'G') THEN 1 END) AS nb_mauvaise_perf,
-  CAST({half_up("10000 * count(CASE WHEN classe IN ('A', 'B', 'C') THEN 1 END)", "count(*)")} AS DOUBLE) / 100
+  count(*) FILTER (classe <= 'C') AS nb_bonne_perf, count(*) FILTER (classe >= 'F') AS nb_mauvaise_perf,
+  CAST({half_up("10000 * count(*) FILTER (classe <= 'C')", "count(*)")} AS DOUBLE) / 100
     AS pct_bonne_perf,
   {mean6("sum(conso)", "count(*)")} AS conso_energie_moyenne,
   {mean6("sum(ges)", "count(*)")} AS emissions_co2_moyenne
@@ -144,7 +143,7 @@ TERMS = r"""terms AS (
   WHERE term <> '' GROUP BY lang, term)"""
 ORACLE["term_counts"] = f"WITH {TERMS} SELECT lang, term, nb FROM terms"
 ORACLE["top_terms"] = f"""WITH {TERMS}
-SELECT lang, term, nb FROM terms WHERE length(term) >= 4
+SELECT lang, term, nb FROM terms
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY nb DESC, term) <= 50"""
 
 # --- run history --------------------------------------------------------------------------------
@@ -160,8 +159,8 @@ DURATION = "(epoch_us(completed_at) - epoch_us(started_at)) / 1e6 AS duration_se
 RUN_COLUMNS = "scraper_name, started_at, completed_at, status, records_processed"
 
 ORACLE["latest_run_per_loader"] = f"""WITH {RUNS}
-SELECT DISTINCT ON (scraper_name) {RUN_COLUMNS}, {DURATION}
-FROM runs ORDER BY scraper_name, started_at DESC, id DESC"""
+SELECT {RUN_COLUMNS}, {DURATION} FROM runs
+QUALIFY row_number() OVER (PARTITION BY scraper_name ORDER BY started_at DESC, id DESC) = 1"""
 
 ORACLE["loader_success_stats"] = f"""WITH {RUNS}
 SELECT scraper_name, count(*) AS total_runs,
@@ -181,6 +180,12 @@ ORACLE["run_durations"] = f"WITH {RUNS} SELECT id, {DURATION} FROM runs"
 ORACLE["load_success_ratio"] = f"""WITH {RUNS}
 SELECT count(*) FILTER (status = 'success') AS nb_success, count(*) AS nb_total FROM runs"""
 
+ORACLE["success_ratio_per_run"] = f"""WITH {RUNS}, loads AS (
+  SELECT CAST(user_id AS VARCHAR) AS pipeline_id, status FROM runs JOIN events ON id = event_id)
+SELECT pipeline_id, count(*) FILTER (status = 'success') AS nb_success, count(*) AS nb_total,
+  CAST({half_up("10000 * count(*) FILTER (status = 'success')", "count(*)")} AS DOUBLE) / 100 AS pct_success
+FROM loads GROUP BY pipeline_id"""
+
 ORACLE["run_ledger_fold"] = f"""WITH {RUNS}
 SELECT id, scraper_name, started_at, completed_at, status, records_processed,
   CASE WHEN status = 'failed' THEN 'error in ' || scraper_name END AS error_message, metadata
@@ -319,26 +324,58 @@ FROM lineitem"""
 
 # --- sources ------------------------------------------------------------------------------------
 
+KNOWN = "(SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)"
+ORACLE["streamed_transactions"] = ORACLE["stored_transactions"]
+ORACLE["stored_dpe"] = f"SELECT * FROM ({ORACLE['clean_dpe']}) WHERE commune_id IN {KNOWN}"
+ORACLE["stored_demographics"] = f"""SELECT * REPLACE (2001 AS annee) FROM ({ORACLE["merge_demographics"]})
+WHERE commune_id IN {KNOWN}"""
+
+
+def rejected_figures(source: str, code: str, value: str, read: str, sql: str) -> str:
+    return f"""SELECT '{source}' AS source, CASE WHEN code = '' OR text = '' THEN 'blank_required'
+    WHEN length(code) > 5 THEN 'commune_id_length' ELSE 'unreadable_value' END AS violation
+  FROM (SELECT {strip(code)} AS code, {strip(value)} AS text FROM ({sql}))
+  WHERE code = '' OR text = '' OR {read} IS NULL OR length(code) > 5"""
+
+
+ORACLE["quarantined_rows"] = f"""SELECT source, violation, count(*) AS nb_rows FROM (
+  SELECT 'transactions' AS source, violation, unnest(range(nb_rows)) FROM ({ORACLE["quarantined_transactions"]})
+  UNION ALL SELECT source, violation, 0 FROM ({rejected_figures("population", "COM", "PMUN", whole("text"), raw.POPULATION)})
+  UNION ALL SELECT source, violation, 0 FROM ({rejected_figures("income", "CODGEO", "MED21", number("text"), raw.INCOME)})
+  UNION ALL SELECT 'demographics', 'commune_unknown', 0 FROM ({ORACLE["merge_demographics"]}) WHERE commune_id NOT IN {KNOWN}
+  UNION ALL (WITH {DPE_PARSED} SELECT 'dpe', CASE WHEN code = '' OR classe = '' THEN 'blank_required' ELSE 'unknown_label' END, 0
+    FROM judged WHERE code = '' OR classe = '' OR classe NOT IN ('A', 'B', 'C', 'D', 'E', 'F', 'G'))
+  UNION ALL SELECT 'dpe', 'commune_unknown', 0 FROM ({ORACLE["clean_dpe"]}) WHERE commune_id NOT IN {KNOWN})
+GROUP BY source, violation"""
+
+ORACLE["load_ledger"] = f"""SELECT name || '_loader' AS scraper_name, 'success' AS status, n AS records_processed,
+  n AS table_total, true AS closed
+FROM (SELECT 'communes' AS name, count(*) AS n FROM supplier
+      UNION ALL SELECT 'transactions', count(*) FROM ({ORACLE["stored_transactions"]})
+      UNION ALL SELECT 'demographics', count(*) FROM ({ORACLE["stored_demographics"]})
+      UNION ALL SELECT 'dpe', count(*) FROM ({ORACLE["stored_dpe"]}))"""
+
+ORACLE["dpe_by_department"] = f"""WITH {COMMUNES}, cleaned AS ({ORACLE["clean_dpe"]})
+SELECT cleaned.* FROM cleaned JOIN communes ON commune_id = code_insee
+WHERE dept IN ('NATION_1', 'NATION_7', 'NATION_12')"""
+
+ORACLE["folder_choice"] = ORACLE["clean_transactions"].replace(
+    "raw AS (", f"raw AS (SELECT * FROM ({duck(raw.placed(raw.TRANSACTIONS))}) WHERE year IN (1996, 1999) AND dept IN ('1', '3')), unused AS ("
+)
+
+ORACLE["damaged_rows"] = """SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'short_row'
+    WHEN '4-NOT SPECIFIED' THEN 'bad_encoding' ELSE 'whole' END AS state,
+  CASE WHEN o_orderpriority IN ('2-HIGH', '5-LOW') THEN CAST(o_custkey AS VARCHAR)
+       WHEN o_orderpriority = '3-MEDIUM' THEN o_custkey || ';"x"' END AS com,
+  CASE WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM', '5-LOW') THEN CAST(o_orderkey AS VARCHAR) END AS pmun
+FROM orders"""
+
 ORACLE["dept_union_load"] = f"""WITH {COMMUNES}
 SELECT code_insee AS commune_id, dept, CAST(l_shipdate AS DATE) AS date_transaction, l_extendedprice AS prix,
   l_quantity AS surface
 FROM lineitem JOIN communes ON CAST(l_suppkey AS VARCHAR) = code_insee
 WHERE dept IN ('NATION_1', 'NATION_7', 'NATION_12')"""
 
-ORACLE["first_n_per_dept"] = """SELECT c_nationkey AS dept, o_orderkey, o_totalprice
-FROM orders JOIN customer ON o_custkey = c_custkey
-QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderkey) <= 100"""
-
-ORACLE["prefix_filter_cap"] = """SELECT c_custkey, code_postal FROM (
-  SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS code_postal FROM customer)
-WHERE code_postal LIKE '00%' ORDER BY c_custkey LIMIT 500"""
-
-ORACLE["first_raw_rows"] = f"""SELECT code AS commune_id, {whole("text")} AS population,
-  CASE WHEN code = '' OR text = '' THEN 'blank_required'
-       WHEN {whole("text")} IS NULL THEN 'unreadable_value' END AS _reject
-FROM (SELECT {strip("COM")} AS code, {strip("PMUN")} AS text
-      FROM ({raw.POPULATION} ORDER BY o_orderkey LIMIT 1000))"""
-
 ORACLE["table_counts"] = "\nUNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS nb_records FROM {name}"
     for name in (
@@ -387,6 +424,15 @@ SELECT * FROM folded UNION ALL
 SELECT commune_id, annee, population, revenu_median FROM demographics d
 WHERE NOT EXISTS (SELECT 1 FROM folded f WHERE d.commune_id = f.commune_id AND d.annee = f.annee)"""
 
+ORACLE["demographics_update"] = f"""WITH {DEMOGRAPHICS}, {ORDERS_YEARLY}, folded AS (
+  SELECT commune_id, annee, CASE WHEN population % 5 > 0 THEN population END AS population,
+    CASE WHEN population % 3 > 0 THEN revenu_median END AS revenu_median
+  FROM yearly QUALIFY row_number() OVER (PARTITION BY commune_id, annee ORDER BY population DESC) = 1)
+SELECT commune_id, annee, coalesce(f.population, d.population) AS population,
+  coalesce(f.revenu_median, d.revenu_median) AS revenu_median,
+  CASE WHEN f.annee IS NOT NULL THEN TIMESTAMP '2024-06-01' ELSE TIMESTAMP '2020-01-01' END AS updated_at
+FROM demographics d FULL JOIN folded f USING (commune_id, annee)"""
+
 ORACLE["key_union"] = "SELECT o_custkey AS code FROM orders UNION SELECT l_partkey FROM lineitem"
 
 VIOLATIONS = """SELECT * FROM (SELECT l_orderkey, unnest([

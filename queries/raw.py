@@ -100,3 +100,24 @@ SELECT
        ELSE CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) END AS MED21,
   p_partkey AS _pos
 FROM part"""
+
+
+def placed(sql: str) -> str:
+    """Raw sales with the year and department folder each is landed in."""
+    return sql.replace(
+        "\nFROM lineitem", ",\n  year(l_shipdate) AS year, CAST(l_suppkey % 5 AS STRING) AS dept\nFROM lineitem"
+    )
+
+
+# One line per order, by priority: too short, too long, quoted with doubled quotes, with a byte that is no text (~), good.
+DAMAGED = """
+SELECT
+  CAST(floor(o_orderkey / 50000) AS BIGINT) AS dept, o_orderkey AS place,
+  CASE o_orderpriority
+    WHEN '1-URGENT' THEN CAST(o_custkey AS STRING)
+    WHEN '2-HIGH' THEN concat(CAST(o_custkey AS STRING), ';', CAST(o_orderkey AS STRING), ';surplus')
+    WHEN '3-MEDIUM' THEN concat(chr(34), CAST(o_custkey AS STRING), ';', chr(34), chr(34), 'x',
+         chr(34), chr(34), chr(34), ';', CAST(o_orderkey AS STRING))
+    WHEN '4-NOT SPECIFIED' THEN concat(CAST(o_custkey AS STRING), '~;', CAST(o_orderkey AS STRING))
+    ELSE concat(CAST(o_custkey AS STRING), ';', CAST(o_orderkey AS STRING)) END AS line
+FROM orders"""

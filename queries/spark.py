@@ -17,15 +17,17 @@ from toitscope.functions.measures import json_or_null, price_per_m2
 from toitscope.functions.text import field
 from toitscope.operators import cleaning, integrity, keyed, ledger, ranking, storage
 from toitscope.plans import areas, energy, indicators, loading, prices, terms
+from toitscope.plans.views import EVENTS_FOLDER
 from toitscope.session import shared_folder
 from toitscope.sources import landing
 from toitscope.sources import tables as sql_tables
 from toitscope.sources.delimited import read_delimited
-from toitscope.streaming.incremental import ingest, stream_parquet
+from toitscope.streaming.incremental import ingest, ingest_transactions, stream_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 DEPARTMENTS = ["NATION_1", "NATION_7", "NATION_12"]
+FOLDER_YEARS, FOLDER_DEPARTMENTS = [1996, 1999], ["1", "3"]
 
 
 def registered(build: Callable[[Tables], DataFrame]) -> Query:
@@ -103,7 +105,7 @@ def term_counts(t: Tables) -> DataFrame:
 
 @registered
 def top_terms(t: Tables) -> DataFrame:
-    return terms.top_terms(t.documents, "lang", "text", 50, min_length=4)
+    return terms.top_terms(t.documents, "lang", "text", 50)
 
 
 # --- run history --------------------------------------------------------------------------------
@@ -139,6 +141,12 @@ def load_success_ratio(t: Tables) -> DataFrame:
     return ledger.success_ratio(t.runs())
 
 
+@registered
+def success_ratio_per_run(t: Tables) -> DataFrame:
+    """Every user's events as the loads of one pipeline run."""
+    return ledger.success_ratio_per_run(t.runs().join(t.events.select(F.col("event_id").alias("id"), F.col("user_id").cast("string").alias("pipeline_id")), "id"))
+
+
 @registered
 def run_ledger_fold(t: Tables) -> DataFrame:
     """Each run as the events its load would have appended, folded back."""
@@ -153,6 +161,7 @@ def run_ledger_fold(t: Tables) -> DataFrame:
         none.cast("bigint").alias("table_total"),
         none.cast("string").alias("error_message"),
         "metadata",
+        none.cast("string").alias("pipeline_id"),
     )
     failed = F.col("status") == "failed"
     closing = runs.where(F.col("status") != "running").select(
@@ -164,8 +173,9 @@ def run_ledger_fold(t: Tables) -> DataFrame:
         none.cast("bigint").alias("table_total"),
         F.when(failed, F.concat(F.lit("error in "), F.col("scraper_name"))).alias("error_message"),
         none.cast("string").alias("metadata"),
+        none.cast("string").alias("pipeline_id"),
     )
-    return ledger.fold_runs(opening.unionByName(closing)).drop("table_total")
+    return ledger.fold_runs(opening.unionByName(closing)).drop("table_total", "pipeline_id")
 
 
 @registered
@@ -300,67 +310,170 @@ def income_from_csv(t: Tables) -> DataFrame:
     return cleaning.clean_income(_placed(landed(t, schemas.INCOME_SOURCE, raw.INCOME, "part")))
 
 
-def loaded(t: Tables) -> tuple[str, loading.LoadResult]:
-    """Register and sales landed as files and loaded into a fresh warehouse."""
-    root = f"{shared_folder(t.spark)}/load-{uuid.uuid4().hex}"
-    exact = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+EXACT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+YEAR = 2001
+
+
+def land_register(t: Tables, root: str) -> None:
     register = t.communes().select(
         F.col("code_insee").alias("com_code"),
         F.col("nom").alias("com_nom"),
-        F.col("dept").alias("dep_code"),
+        # Departments of the stand-in are longer than a code may be: keep what follows the underscore.
+        F.substring_index("dept", "_", -1).alias("dep_code"),
         F.col("region").alias("reg_nom"),
         F.lit("46.5").alias("latitude"),
         F.lit("").alias("longitude"),
     )
-    # Departments of the stand-in are longer than a code may be: keep what follows the underscore.
-    register = register.withColumn("dep_code", F.substring_index("dep_code", "_", -1))
-    register.write.options(**exact).csv(f"{root}/in/communes")
+    register.write.options(**EXACT).csv(f"{root}/in/communes")
+
+
+def land_sales(t: Tables, root: str) -> None:
     sales = t.raw(raw.TRANSACTIONS, "lineitem")
-    sales.write.options(**exact, sep="|").csv(f"{root}/in/transactions/year=2001/dept=all")
-    loading.load_communes(t.spark, f"{root}/in", f"{root}/warehouse")
-    result = loading.load_transactions(t.spark, f"{root}/in", f"{root}/warehouse", [2001])
-    return f"{root}/warehouse", result
+    sales.write.options(**EXACT, sep="|").csv(f"{root}/in/transactions/year={YEAR}/dept=all")
+
+
+def land_figures(t: Tables, root: str) -> None:
+    """Population and income as files whose order is that of their rows."""
+    for name, sql, table in (("population", raw.POPULATION, "orders"), ("income", raw.INCOME, "part")):
+        rows = t.raw(sql, table).repartitionByRange("_pos").sortWithinPartitions("_pos").drop("_pos")
+        rows.write.options(**EXACT, sep=";").csv(f"{root}/in/{name}")
+
+
+def land_diagnoses(t: Tables, root: str) -> None:
+    t.raw(raw.DPE, "lineitem", "part").write.options(**EXACT).csv(f"{root}/in/dpe/dept=all")
+
+
+def fresh(t: Tables) -> tuple[str, str, str]:
+    root = f"{shared_folder(t.spark)}/load-{uuid.uuid4().hex}"
+    return root, f"{root}/in", f"{root}/warehouse"
+
+
+def loaded(t: Tables) -> str:
+    """Register and sales landed as files and loaded into a fresh warehouse."""
+    root, landing_root, warehouse = fresh(t)
+    land_register(t, root)
+    land_sales(t, root)
+    loading.load_communes(t.spark, landing_root, warehouse)
+    loading.load_transactions(t.spark, landing_root, warehouse, [YEAR])
+    return warehouse
+
+
+def all_loaded(t: Tables) -> str:
+    """All sources landed as files and loaded by one pipeline run."""
+    root, landing_root, warehouse = fresh(t)
+    for land in (land_register, land_sales, land_figures, land_diagnoses):
+        land(t, root)
+    loading.load_all(t.spark, landing_root, warehouse, YEAR)
+    return warehouse
 
 
 @registered
 def stored_transactions(t: Tables) -> DataFrame:
     """Files to stored sales: parsed, checked against rules and register, appended, read back."""
-    warehouse, _ = loaded(t)
+    return storage.read_table(t.spark, loaded(t), "transactions").drop("created_at")
+
+
+@registered
+def streamed_transactions(t: Tables) -> DataFrame:
+    """The same sales in two deliveries, each streamed once, and a third run that finds nothing new."""
+    root, landing_root, warehouse = fresh(t)
+    land_register(t, root)
+    loading.load_communes(t.spark, landing_root, warehouse)
+    sales = t.raw(raw.TRANSACTIONS, "lineitem")
+    first = F.col("code_postal") < "00050"
+    for number, some in enumerate((sales.where(first), sales.where(~first), None)):
+        if some is not None:
+            some.write.options(**EXACT, sep="|").csv(f"{root}/drops/delivery-{number}")
+        ingest_transactions(t.spark, f"{root}/drops", warehouse, f"{root}/checkpoint")
     return storage.read_table(t.spark, warehouse, "transactions").drop("created_at")
 
 
+@registered
+def stored_dpe(t: Tables) -> DataFrame:
+    root, landing_root, warehouse = fresh(t)
+    land_register(t, root)
+    land_diagnoses(t, root)
+    loading.load_communes(t.spark, landing_root, warehouse)
+    loading.load_dpe(t.spark, landing_root, warehouse)
+    return storage.read_table(t.spark, warehouse, "dpe").drop("created_at")
+
+
+@registered
+def stored_demographics(t: Tables) -> DataFrame:
+    root, landing_root, warehouse = fresh(t)
+    land_register(t, root)
+    land_figures(t, root)
+    loading.load_communes(t.spark, landing_root, warehouse)
+    loading.load_demographics(t.spark, landing_root, warehouse, YEAR)
+    return storage.read_table(t.spark, warehouse, "demographics").drop("created_at", "updated_at")
+
+
 @registered
 def quarantined_transactions(t: Tables) -> DataFrame:
-    warehouse, _ = loaded(t)
-    rows = t.spark.read.parquet(f"{warehouse}/quarantine").where(F.col("table_name") == "transactions")
+    rows = loading.read_quarantine(t.spark, loaded(t)).where(F.col("table_name") == "transactions")
     return integrity.violation_counts(rows)
 
 
 @registered
-def dept_union_load(t: Tables) -> DataFrame:
-    register = t.communes().select(F.col("code_insee").alias("commune_id"), "dept")
-    wanted = register.where(landing.chosen(departments=DEPARTMENTS))
-    return t.sales().join(wanted, "commune_id").select("commune_id", "dept", "date_transaction", "prix", "surface")
+def quarantined_rows(t: Tables) -> DataFrame:
+    """Reasons by source over all loads."""
+    rows = loading.read_quarantine(t.spark, all_loaded(t))
+    return (
+        rows.select("source", F.explode("violations").alias("violation"))
+        .groupBy("source", "violation")
+        .agg(F.count("*").alias("nb_rows"))
+    )
 
 
 @registered
-def first_n_per_dept(t: Tables) -> DataFrame:
-    placed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("c_nationkey").alias("dept"), "o_orderkey", "o_totalprice"
-    )
-    return landing.first_rows_per_department(placed, 100, F.col("o_orderkey"))
+def load_ledger(t: Tables) -> DataFrame:
+    """What the ledger says of a run of all loads, clocks and ids left out."""
+    runs = ledger.fold_runs(ledger.read_events(t.spark, f"{all_loaded(t)}/{EVENTS_FOLDER}"))
+    in_order = (F.col("completed_at") > F.col("started_at")) & F.col("pipeline_id").isNotNull()
+    return runs.select("scraper_name", "status", "records_processed", "table_total", in_order.alias("closed"))
+
+
+@registered
+def dpe_by_department(t: Tables) -> DataFrame:
+    """All diagnoses of communes that the register places in one of several departments."""
+    chosen = loading.of_departments(t.raw(raw.DPE, "lineitem", "part"), t.communes(), DEPARTMENTS)
+    return integrity.narrow(cleaning.clean_dpe(chosen), "dpe")
 
 
 @registered
-def prefix_filter_cap(t: Tables) -> DataFrame:
-    postal = t.customer.select("c_custkey", F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("code_postal"))
-    return landing.by_postal_prefix(postal, "00", 500, "code_postal", F.col("c_custkey"))
+def folder_choice(t: Tables) -> DataFrame:
+    """Sales landed in folders by year and department, of which some years and departments are read."""
+    root = f"{shared_folder(t.spark)}/folders-{uuid.uuid4().hex}"
+    rows = t.raw(raw.placed(raw.TRANSACTIONS), "lineitem")
+    rows.write.partitionBy("year", "dept").options(**EXACT, sep="|").csv(f"{root}/transactions")
+    chosen = landing.read_transactions(t.spark, root, FOLDER_YEARS, FOLDER_DEPARTMENTS)
+    return integrity.narrow(cleaning.clean_transactions(chosen), "transactions")
 
 
 @registered
-def first_raw_rows(t: Tables) -> DataFrame:
-    text = t.raw(raw.POPULATION, "orders")
-    return cleaning.screen_population(landing.first_rows(text, 1000)).select("commune_id", "population", "_reject")
+def damaged_rows(t: Tables) -> DataFrame:
+    """Files with short, long, quoted and undecodable rows, row by row as the reader sees them."""
+    path = f"{shared_folder(t.spark)}/damaged-{uuid.uuid4().hex}"
+    lines = t.raw(raw.DAMAGED, "orders")
+    # Byte E9 alone is no UTF-8; it stands where the SQL says so.
+    broken = F.expr("cast(concat(cast(split_part(line, '~', 1) AS BINARY), X'E9', cast(split_part(line, '~', 2) AS BINARY)) AS STRING)")
+    lines = lines.withColumn("line", F.when(F.col("line").contains("~"), broken).otherwise(F.col("line")))
+    # A file for every 50,000 rows; its header is its first line.
+    heads = lines.select("dept").distinct().select("dept", F.lit(-1).cast("bigint").alias("place"), F.lit("COM;PMUN").alias("line"))
+    files = lines.unionByName(heads).repartition("dept").sortWithinPartitions("dept", "place")
+    files.select("dept", "line").write.partitionBy("dept").text(path)
+    rows = read_delimited(t.spark, path, schemas.POPULATION_SOURCE)
+    whole = F.col("_damage").isNull()
+    return rows.select(
+        F.coalesce("_damage", F.lit("whole")).alias("state"), F.when(whole, F.col("COM")).alias("com"), F.when(whole, F.col("PMUN")).alias("pmun")
+    )
+
+
+@registered
+def dept_union_load(t: Tables) -> DataFrame:
+    register = t.communes().select(F.col("code_insee").alias("commune_id"), "dept")
+    wanted = register.where(landing.chosen(departments=DEPARTMENTS))
+    return t.sales().join(wanted, "commune_id").select("commune_id", "dept", "date_transaction", "prix", "surface")
 
 
 @registered
@@ -469,6 +582,17 @@ def insert_update_conflicts(t: Tables) -> DataFrame:
     return keyed.insert_unique(t.demographics(), _yearly_orders(t), KEY, "update", F.col("population"))
 
 
+@registered
+def demographics_update(t: Tables) -> DataFrame:
+    """A later delivery that lacks some figures: stored ones stay where it has none."""
+    incoming = ranking.latest_per_key(_yearly_orders(t), KEY, F.col("population"))
+    partial = incoming.withColumn("revenu_median", F.when(F.col("population") % 3 > 0, F.col("revenu_median")))
+    partial = partial.withColumn("population", F.when(F.col("population") % 5 > 0, F.col("population")))
+    stored = t.demographics().withColumn("updated_at", F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+    return keyed.upsert(stored, partial, KEY, ["population", "revenu_median"], keep_missing=True, touch={"updated_at": now})
+
+
 @registered
 def key_union(t: Tables) -> DataFrame:
     customers = t.orders.select(F.col("o_custkey").alias("code"))

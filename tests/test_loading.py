@@ -14,7 +14,7 @@ from toitscope.plans import loading
 from toitscope.plans.views import EVENTS_FOLDER, register_views
 from toitscope.schemas import DPE_COLUMNS, TABLES, TRANSACTION_COLUMNS, TRANSACTIONS_SOURCE
 from toitscope.operators.cleaning import clean_transactions
-from toitscope.streaming.incremental import ingest_delimited
+from toitscope.streaming.incremental import ingest_delimited, ingest_transactions
 
 COMMUNE_HEADER = "com_code,com_nom,dep_code,reg_nom,latitude,longitude"
 
@@ -71,7 +71,7 @@ def test_load_all(spark, landing, warehouse):
         ("75056", Decimal("500000.00"), None, 2023),
     ]
     assert tx.where("created_at IS NULL").count() == 0
-    bad = spark.read.parquet(f"{warehouse}/quarantine").collect()
+    bad = loading.read_quarantine(spark, warehouse).collect()
     reasons = sorted((r["table_name"], tuple(r["violations"])) for r in bad)
     assert reasons == [
         ("demographics", ("commune_unknown",)),
@@ -107,12 +107,130 @@ def test_views_by_name(spark, landing, warehouse):
     assert list(map(tuple, top.collect())) == [("06", 3), ("75", 1)]
 
 
-def test_departments_and_caps(spark, landing, warehouse):
+def test_departments(spark, landing, warehouse):
     loading.load_communes(spark, landing, warehouse)
     loading.load_transactions(spark, landing, warehouse, [2022, 2023], ["75"])
     assert read_table(spark, warehouse, "transactions").count() == 2
-    result = loading.load_dpe(spark, landing, warehouse, ["06", "75"], cap=2)
-    assert (result.rows_written, result.rows_rejected) == (3, 0)
+    result = loading.load_dpe(spark, landing, warehouse, ["06", "75"])
+    assert (result.rows_written, result.rows_rejected) == (4, 1)
+
+
+@pytest.mark.parametrize("departments", [None, ["06"]])
+def test_every_landed_diagnosis_is_stored(spark, landing, warehouse, write, departments):
+    write("in/dpe/dept=06", "b.csv", ",".join(DPE_COLUMNS), *[diagnosis("06088", "A")] * 60_000)
+    loading.load_all(spark, landing, warehouse, 2023, departments=departments)
+    stored = read_table(spark, warehouse, "dpe").where("commune_id = '06088'").count()
+    assert stored == 60_003
+
+
+def test_nothing_staged_is_left(spark, landing, warehouse):
+    from pathlib import Path
+
+    from toitscope import shared_folder
+
+    loading.load_all(spark, landing, warehouse, 2023)
+    with pytest.raises(loading.RowsRejected):
+        loading.load_transactions(spark, landing, warehouse, [2023], on_violation="abort")
+    left = Path(shared_folder(spark)) / "staging"
+    assert not left.exists() or not list(left.iterdir())
+
+
+def test_shared_folder_must_be_named(spark):
+    from toitscope import shared_folder
+
+    named = spark.conf.get("spark.checkpoint.dir")
+    try:
+        spark.conf.set("spark.checkpoint.dir", "")
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", named)
+
+
+def test_failed_load_leaves_no_rejects(spark, landing, warehouse):
+    loading.load_all(spark, landing, warehouse, 2023)
+    before = loading.read_quarantine(spark, warehouse).count()
+    with pytest.raises(KeyConflict):
+        loading.load_demographics(spark, landing, warehouse, 2023)
+    assert loading.read_quarantine(spark, warehouse).count() == before
+
+
+def test_repeated_load_id_counts_once(spark, landing, warehouse):
+    loading.load_communes(spark, landing, warehouse)
+    for _ in range(2):
+        loading.load_transactions(spark, landing, warehouse, [2023], load_id="again")
+    assert read_table(spark, warehouse, "transactions").count() == 4
+    assert loading.read_quarantine(spark, warehouse).count() == 3
+
+
+def test_update_keeps_figures_that_did_not_come(spark, landing, warehouse, write):
+    loading.load_communes(spark, landing, warehouse)
+    loading.load_demographics(spark, landing, warehouse, 2023)
+    stored = read_table(spark, warehouse, "demographics")
+    from pyspark.sql import functions as F
+
+    from toitscope.operators.storage import replace
+
+    replace(stored.withColumn("densite", F.lit("3.00").cast("decimal(10,2)")), warehouse, "demographics")
+    write("in/population", "a.csv", "COM;PMUN", "06088;341000")
+    write("in/income", "a.csv", "CODGEO;MED21", "75056;29000")
+    loading.load_demographics(spark, landing, warehouse, 2023, "update")
+    rows = {r["commune_id"]: r for r in read_table(spark, warehouse, "demographics").collect()}
+    assert (rows["06088"]["population"], rows["06088"]["revenu_median"], rows["06088"]["densite"]) == (341000, 20000, 3)
+    assert (rows["75056"]["population"], rows["75056"]["revenu_median"], rows["75056"]["densite"]) == (2100000, 29000, 3)
+    assert all(r["updated_at"] > r["created_at"] for r in rows.values())
+
+
+def test_lost_version_is_an_error(spark, landing, warehouse):
+    import shutil
+
+    from pyspark.errors import AnalysisException
+
+    from toitscope.operators.storage import current_version
+
+    assert read_table(spark, warehouse, "communes").count() == 0
+    loading.load_communes(spark, landing, warehouse)
+    shutil.move(f"{warehouse}/communes/{current_version(spark, warehouse, 'communes')}", f"{warehouse}/elsewhere")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_table(spark, warehouse, "communes").count()
+
+
+def test_loads_of_one_run_share_a_pipeline(spark, landing, warehouse):
+    from toitscope.operators.ledger import success_ratio_per_run
+
+    loading.load_all(spark, landing, warehouse, 2023)
+    loading.load_all(spark, landing, warehouse, 2023, skip_communes=True)
+    runs = fold_runs(read_events(spark, f"{warehouse}/{EVENTS_FOLDER}"))
+    ratios = sorted((r["nb_success"], r["nb_total"]) for r in success_ratio_per_run(runs).collect())
+    assert ratios == [(2, 3), (4, 4)]
+
+
+def test_two_targets_of_one_stream_both_get_their_rows(spark, landing, write, tmp_path):
+    header = "|".join(TRANSACTION_COLUMNS)
+    write("drops/day=1", "a.csv", header, sale("06088", "2023-05-01", "100000"), sale("06999", "2023-05-01", "1"))
+    for name in ("one", "two"):
+        warehouse = str(tmp_path / name)
+        loading.load_communes(spark, landing, warehouse)
+        for _ in range(2):
+            ingest_transactions(spark, str(tmp_path / "drops"), warehouse, f"{warehouse}/mark")
+        assert read_table(spark, warehouse, "transactions").count() == 1
+        assert loading.read_quarantine(spark, warehouse).count() == 1
+
+
+def test_repeated_stream_batch_counts_once(spark, landing, write, tmp_path, warehouse):
+    """The batch was stored, and its commit in the checkpoint was lost."""
+    import os
+
+    header = "|".join(TRANSACTION_COLUMNS)
+    write("drops/day=1", "a.csv", header, sale("06088", "2023-05-01", "100000"))
+    loading.load_communes(spark, landing, warehouse)
+    mark = f"{warehouse}/mark"
+    ingest_transactions(spark, str(tmp_path / "drops"), warehouse, mark)
+    for name in os.listdir(f"{mark}/commits"):
+        if not name.endswith(".metadata"):
+            os.remove(f"{mark}/commits/{name}")
+    ingest_transactions(spark, str(tmp_path / "drops"), warehouse, mark)
+    assert read_table(spark, warehouse, "transactions").count() == 1
 
 
 def test_register_reload_keeps_stamps(spark, landing, warehouse, write):

@@ -196,3 +196,16 @@ def test_small_measures(spark):
         json_or_null(year=F.lit(2023), department=F.lit("06")).alias("a"), json_or_null(year=F.lit(None).cast("int")).alias("b")
     )
     assert tuple(text.first()) == ('{"year":2023,"department":"06"}', None)
+
+
+def test_statistics_of_more_rows_than_a_table_can_hold(spark):
+    counts = spark.createDataFrame([("a", 0, 1000, 10**12), ("a", 0, 3000, 10**12 + 1), ("b", 0, None, 5)], "k string, measure int, units long, n long")
+    rows = {r["k"]: r for r in amount_stats(counts, ["k"], {"prix": 100}).collect()}
+    assert (rows["a"]["nb_rows"], rows["a"]["prix_median"], rows["a"]["prix_mean"]) == (2 * 10**12 + 1, 30.0, Decimal("20.000000"))
+    assert (rows["b"]["nb_rows"], rows["b"]["prix_median"]) == (5, None)
+
+
+@pytest.mark.parametrize(("price", "surface", "want"), [(1.0, 1e-7, 1e7), (1.005, 1.0, 1.01), (300000.0, 7.0, 42857.14), (1.0, 0.0, None), (5.0, -1.0, None), (None, 1.0, None), (1e10, 3.0, 3333333333.33)])
+def test_price_per_m2_is_one_exact_path(spark, price, surface, want):
+    df = spark.createDataFrame([(price, surface)], "p double, s double")
+    assert df.select(price_per_m2(F.col("p"), F.col("s"))).first()[0] == want

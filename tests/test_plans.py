@@ -68,6 +68,34 @@ def test_levels_read_the_sales_once(tables):
     assert "Python" not in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize(
+    ("build", "rows_per_sale"),
+    [
+        (lambda sales, communes: areas.yearly_prices(sales, communes), 1),
+        (lambda sales, communes: areas.area_against_parent(sales, communes), 1),
+        (lambda sales, communes: areas.stats_by_level(sales, communes), 2),
+        (lambda sales, communes: prices.price_stats(sales, communes, F.lit(dt.date(2023, 12, 1))), 2),
+    ],
+)
+def test_a_sale_becomes_one_row_per_measure_that_is_read(tables, build, rows_per_sale):
+    text = build(*tables)._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in text.split("\n") if "Generate inline(array(struct(measure" in line]
+    assert made and all(line.count("struct(measure") == rows_per_sale for line in made)
+
+
+def test_plans_are_lazy(tables, spark):
+    """Building an analysis starts no job."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    try:
+        areas.area_against_parent(*tables)
+        areas.stats_by_level(*tables)
+        areas.yearly_prices(*tables)
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_energy_is_reduced_before_the_join(tables, spark):
     _, communes = tables
     dpe = tables[0].select(

@@ -11,7 +11,6 @@ from toitscope.operators.cleaning import clean_transactions, screen_transactions
 from toitscope.operators.integrity import narrow
 from toitscope.schemas import TRANSACTION_COLUMNS, TRANSACTIONS_SOURCE
 from toitscope.sources.delimited import read_delimited
-from toitscope.sources.landing import first_rows
 
 HEADER = "|".join(TRANSACTION_COLUMNS)
 GOOD = {
@@ -133,14 +132,6 @@ def test_undecodable_text_is_set_aside(spark, write):
     assert [row["_reject"] for row in screened.collect()] == ["bad_encoding"]
 
 
-def test_cap_counts_raw_rows(spark, write):
-    folder = write("tx", "a.csv", HEADER, line(valeur_fonciere=""), line(code_commune="1"), line(code_commune="2"))
-    raw = read_delimited(spark, folder, TRANSACTIONS_SOURCE)
-    kept = clean_transactions(first_rows(raw, 2)).collect()
-    assert [row["commune_id"] for row in kept] == ["1"]
-    assert clean_transactions(first_rows(raw, 0)).count() == 2
-
-
 def test_wrong_separator_is_an_error(spark, write):
     folder = write("tx", "a.csv", HEADER.replace("|", ","), line().replace("|", ","))
     with pytest.raises(ValueError, match="code_commune"):

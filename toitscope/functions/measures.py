@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 def price_per_m2(price: Column, surface: Column) -> Column:
     """Price over surface to the cent, rounded half up; NULL unless surface > 0.
 
-    Both in whole cents, the usual case, it is whole-number arithmetic; otherwise decimal division.
+    Exact for amounts of up to ten decimals: a remainder of decimals leaves a quotient that is a whole number.
     """
-    price, surface = price.cast("double"), surface.cast("double")
-    p, s = F.rint(price * 100), F.rint(surface * 100)
-    usual = (p / 100 == price) & (s / 100 == surface) & p.between(0, 1e13) & s.between(1, 1e11)
-    whole_p, whole_s = p.cast("bigint"), s.cast("bigint")
+    p, s = F.abs(price).try_cast("decimal(30,10)"), surface.try_cast("decimal(30,10)")
+    usable = F.when(s > 0, s)
     # Half up: floor((2a + b) / 2b) with a = 100 p, b = s.
-    rest = (whole_p * 200 + whole_s) % (whole_s * 2)
-    quick = (whole_p * 200 + whole_s - rest) / (whole_s * 2) / 100
-    exact = F.try_divide(price.try_cast("decimal(20,6)"), surface.try_cast("decimal(20,6)"))
-    return F.when(usual, quick).otherwise(F.when(surface > 0, F.round(exact, 2).cast("double")))
+    twice = (p * F.lit(200).cast("decimal(3,0)") + usable).cast("decimal(38,10)")
+    whole = (usable * F.lit(2).cast("decimal(1,0)")).cast("decimal(31,10)")
+    cents = F.try_divide((twice - twice % whole).cast("decimal(38,10)"), whole)
+    return F.signum(price) * cents.cast("double") / 100
 
 
 def share_pct(part: Column, whole: Column) -> Column:

@@ -20,23 +20,28 @@ def upsert(
     keys: list[str],
     update: list[str],
     fill: dict[str, Column] | None = None,
+    keep_missing: bool = False,
+    touch: dict[str, Column] | None = None,
 ) -> DataFrame:
     """``existing`` with the ``update`` columns replaced where ``incoming`` has the key, and new keys added.
 
     ``incoming`` holds each key once (fold it first). Columns outside ``update`` keep their stored value; a
-    new key takes them from ``fill``, else NULL.
+    new key takes them from ``fill``, else NULL. With ``keep_missing`` a NULL that comes in leaves the stored value.
+    ``touch`` gives columns their value wherever ``incoming`` has the key.
     """
-    fill = fill or {}
+    fill, touch = fill or {}, touch or {}
     old = existing.withColumn("_old", F.lit(True)).alias("old")
     new = incoming.select(*keys, *update).withColumn("_new", F.lit(True)).alias("new")
 
     def column(name: str) -> Column:
+        stored = F.col(f"old.{name}") if name not in keys else None
         if name in keys:
             return F.col(name)
         if name in update:
-            return F.when(F.col("_new"), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
-        stored = F.col(f"old.{name}")
-        return F.when(F.col("_old"), stored).otherwise(fill.get(name, F.lit(None))).alias(name)
+            given = F.coalesce(F.col(f"new.{name}"), stored) if keep_missing else F.col(f"new.{name}")
+            return F.when(F.col("_new"), given).otherwise(stored).alias(name)
+        kept = F.when(F.col("_old"), stored).otherwise(fill.get(name, F.lit(None)))
+        return (F.when(F.col("_new"), touch[name]).otherwise(kept) if name in touch else kept).alias(name)
 
     return old.join(new, keys, "full_outer").select(*[column(name) for name in existing.columns])
 
@@ -86,8 +91,8 @@ def insert_unique(
 def not_yet_loaded(incoming: DataFrame, existing: DataFrame, columns: list[str], chunk: int = COPY_CHUNK) -> DataFrame:
     """Rows of ``incoming`` beyond those in ``existing``, copies counted (multiset difference).
 
-    Copies travel as counts, so a row repeated any number of times is one record per task until the end,
-    where more than ``chunk`` copies are written out by several tasks.
+    Copies travel as counts, so a row repeated any number of times is one record per task until the end, where
+    its copies are dealt out in chunks and written by several tasks.
     """
     # NULLs group together, as they should here. Columns are cast so that both sides have one type.
     kinds = {f.name: f.dataType for f in existing.schema.fields}
@@ -95,13 +100,7 @@ def not_yet_loaded(incoming: DataFrame, existing: DataFrame, columns: list[str],
         existing.select(*columns, F.lit(-1).alias("_sign"))
     )
     surplus = signed.groupBy(*columns).agg(F.sum("_sign").alias("_copies")).where(F.col("_copies") > 0)
-
-    def copies(df: DataFrame, number: Column) -> DataFrame:
-        return df.select(*columns, F.explode(F.sequence(F.lit(1), number.cast("int"))).alias("_copy")).drop("_copy")
-
-    few = copies(surplus.where(F.col("_copies") <= chunk), F.col("_copies"))
     parts = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {chunk}"))
-    many = surplus.where(F.col("_copies") > chunk).select(*columns, "_copies", F.explode(parts).alias("_part"))
-    spread = many.repartition(*columns, "_part")
+    dealt = surplus.select(*columns, "_copies", F.explode(parts).alias("_part")).repartition(*columns, "_part")
     size = F.least(F.lit(chunk).cast("bigint"), F.col("_copies") - F.col("_part") * chunk)
-    return few.unionAll(copies(spread, size))
+    return dealt.select(*columns, F.explode(F.sequence(F.lit(1), size.cast("int"))).alias("_copy")).drop("_copy")

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toitscope.functions.measures import seconds_between
+from toitscope.functions.measures import seconds_between, share_pct
 from toitscope.operators.ranking import latest_per_key, top
 from toitscope.operators.storage import read_log
 
@@ -17,7 +17,7 @@ RUNNING, SUCCESS, FAILED = "running", "success", "failed"
 
 EVENT_SCHEMA = (
     "run_id string, scraper_name string, status string, at timestamp_ntz, "
-    "records_processed bigint, table_total bigint, error_message string, metadata string"
+    "records_processed bigint, table_total bigint, error_message string, metadata string, pipeline_id string"
 )
 
 
@@ -31,6 +31,7 @@ def log_event(
     total: int | None = None,
     error: str | None = None,
     metadata: dict | None = None,
+    pipeline_id: str | None = None,
 ) -> None:
     """Append one event, stamped with the clock at the time of writing."""
     text = json.dumps(metadata) if metadata else None
@@ -43,14 +44,17 @@ def log_event(
         "table_total": F.lit(total).cast("bigint"),
         "error_message": F.lit(error).cast("string"),
         "metadata": F.lit(text).cast("string"),
+        "pipeline_id": F.lit(pipeline_id).cast("string"),
     }
     row = spark.range(0, 1, 1, 1).select(*[value.alias(key) for key, value in values.items()])
     row.write.mode("append").parquet(path)
 
 
-def start_run(spark: SparkSession, path: str, name: str, metadata: dict | None = None) -> str:
+def start_run(
+    spark: SparkSession, path: str, name: str, metadata: dict | None = None, pipeline_id: str | None = None
+) -> str:
     run_id = uuid.uuid4().hex
-    log_event(spark, path, run_id, name, RUNNING, metadata=metadata)
+    log_event(spark, path, run_id, name, RUNNING, metadata=metadata, pipeline_id=pipeline_id)
     return run_id
 
 
@@ -71,6 +75,7 @@ def fold_runs(events: DataFrame) -> DataFrame:
         F.max("table_total").alias("table_total"),
         F.max("error_message").alias("error_message"),
         F.max("metadata").alias("metadata"),
+        F.max("pipeline_id").alias("pipeline_id"),
     )
 
 
@@ -116,3 +121,11 @@ def success_ratio(runs: DataFrame) -> DataFrame:
     return runs.agg(
         F.count_if(F.col("status") == SUCCESS).alias("nb_success"), F.count("*").alias("nb_total")
     )
+
+
+def success_ratio_per_run(runs: DataFrame) -> DataFrame:
+    """Successes over all loads of each pipeline run, and their share in percent; loads outside a pipeline count together."""
+    counted = runs.groupBy("pipeline_id").agg(
+        F.count_if(F.col("status") == SUCCESS).alias("nb_success"), F.count("*").alias("nb_total")
+    )
+    return counted.withColumn("pct_success", share_pct(F.col("nb_success"), F.col("nb_total")))

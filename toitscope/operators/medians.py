@@ -4,8 +4,8 @@ Rows are first counted per (key, amount): each task does that on its own before
 spreads a hot key over all its amounts. The middle rank is then found in two steps: the block of amounts it lies
 in, from block totals, and the amount inside that block. Only amounts of such blocks go on to the second step.
 
-With decimal(12,2) prices in blocks of 100,000 cents there are at most 10^7 blocks per group and 10^5 amounts per
-block, so no step collects an unbounded group.
+With decimal(12,2) prices in blocks of 10^6 cents there are at most 10^6 blocks per group and 10^6 amounts per block,
+so no step collects an unbounded group.
 """
 
 from __future__ import annotations
@@ -95,6 +95,17 @@ def amount_stats(
     )
 
 
+def amount_means(df: DataFrame, keys: list[str], amount: str, members: DataFrame | None = None) -> DataFrame:
+    """Mean of one amount per group as ``<amount>_mean``: a sum and a count per key, added up for ``members``."""
+    groups = keys
+    sums = df.groupBy(*keys).agg(F.sum(cents(F.col(amount)).cast("decimal(18,0)")).alias("_total"), F.count(amount).alias("_n"))
+    if members is not None:
+        on = [c for c in keys if c in members.columns]
+        groups = [c for c in keys if c not in on] + [c for c in members.columns if c not in on]
+        sums = sums.join(members, on).groupBy(*groups).agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
+    return sums.select(*groups, _mean(F.col("_total").cast("decimal(38,0)"), F.col("_n")).alias(f"{amount}_mean"))
+
+
 def _cents_sum() -> Column:
     return F.sum(F.col("units").cast("decimal(18,0)") * F.col("n").cast("decimal(18,0)"))
 
@@ -148,6 +159,9 @@ def _middle_amounts(inside: DataFrame, group: list[str]) -> DataFrame:
 
 
 def _mean(total: Column, number: Column) -> Column:
-    """Mean of cents as an amount with six decimals, rounded half up; NULL for no values."""
+    """Mean of cents as an amount with six decimals, rounded half up; NULL for no values.
+
+    Holds for 10^12 rows of 10^12 cents and for as many as 10^18 rows; the quotient keeps 14 decimals.
+    """
     euros = (total.cast("decimal(26,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(26,2)")
-    return F.try_divide(euros, number.cast("decimal(12,0)")).cast("decimal(16,6)")
+    return F.try_divide(euros, number.cast("decimal(18,0)")).cast("decimal(16,6)")

@@ -1,14 +1,17 @@
 """Parquet tables in a warehouse folder.
 
-A table lives under ``<warehouse>/<table>/<version>/``. Appends go into the current version through Spark's
-own commit protocol: files appear when the whole job has succeeded. A rewrite (upsert, cascade) writes a new
-version and then names it in ``<warehouse>/table_versions``, one tiny row per rewrite; a reader holds on to
-the version it started with.
+A table lives under ``<warehouse>/<table>/<version>/load_id=<load>/``. A load writes its own folder through Spark's
+commit protocol, so its files appear when the whole job has succeeded, and a load that is repeated under its id
+overwrites what it left before. The first load and every rewrite (upsert, cascade) make a new version and then name
+it in ``<warehouse>/table_versions``, one tiny row each; a reader holds on to the version it started with.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +20,10 @@ from pyspark.sql import functions as F
 from toitscope.schemas import DEFAULTS, TABLES
 from toitscope.session import shared_folder
 
-FIRST = "v0"
 VERSION_SCHEMA = "table_name string, version string, committed_at timestamp_ntz"
 PARTITIONS = {"transactions": ["year"]}
 MAX_ROWS_PER_FILE = 5_000_000
+_staging: ContextVar[str | None] = ContextVar("staging", default=None)
 
 
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -33,28 +36,51 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A folder in the shared one for what is staged meanwhile; it goes at the end, whatever the outcome."""
+    if _staging.get():
+        yield _staging.get()
+        return
+    path = f"{shared_folder(spark)}/staging/{uuid.uuid4().hex}"
+    token = _staging.set(path)
+    try:
+        yield path
+    finally:
+        _staging.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str, split: str | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back, in folders by the text column ``split``."""
+    """``df`` written to the folder of the running ``staging`` and read back, in folders by the text column ``split``."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staging/{name}-{uuid.uuid4().hex}"
+    path = f"{_staging.get()}/{name}-{uuid.uuid4().hex}"
+    if not _staging.get():
+        raise RuntimeError("rows are staged only inside staging()")
     writer = df.write.partitionBy(split) if split else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def current_version(spark: SparkSession, warehouse: str, table: str) -> str:
+def current_version(spark: SparkSession, warehouse: str, table: str) -> str | None:
+    """The version readers get; none before the first load."""
     log = read_log(spark, f"{warehouse}/table_versions", VERSION_SCHEMA)
-    newest = log.where(F.col("table_name") == table).agg(F.max_by("version", "committed_at")).first()[0]
-    return newest or FIRST
+    return log.where(F.col("table_name") == table).agg(F.max_by("version", "committed_at")).first()[0]
 
 
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """Current rows of a target table; an empty frame of its schema before the first load."""
-    path = f"{warehouse}/{table}/{current_version(spark, warehouse, table)}"
-    columns = TABLES[table]
-    extra = [name for name in PARTITIONS.get(table, [])]
-    layout = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in columns] + [f"{e} int" for e in extra])
-    return read_log(spark, path, layout)
+    """Current rows of a target table; an empty frame of its schema before the first load.
+
+    A version that the log names and that is not there is an error, not an empty table.
+    """
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table]]
+    columns += [f"{name} int" for name in PARTITIONS.get(table, [])]
+    version = current_version(spark, warehouse, table)
+    if version is None:
+        return spark.createDataFrame([], ", ".join(columns))
+    layout = ", ".join([*columns, "load_id string"])
+    return spark.read.schema(layout).parquet(f"{warehouse}/{table}/{version}").drop("load_id")
 
 
 def with_defaults(df: DataFrame, table: str, now=None) -> DataFrame:
@@ -81,27 +107,37 @@ def laid_out(df: DataFrame, table: str) -> DataFrame:
     return df
 
 
-def append(df: DataFrame, warehouse: str, table: str) -> None:
-    """Add a batch to the current version; all of it appears, or nothing."""
-    version = current_version(df.sparkSession, warehouse, table)
-    _write(df, f"{warehouse}/{table}/{version}", table, "append")
+def append(df: DataFrame, warehouse: str, table: str, load_id: str | None = None) -> None:
+    """Add a batch to the current version; all of it appears, or nothing, and once under its ``load_id``."""
+    spark = df.sparkSession
+    version = current_version(spark, warehouse, table)
+    load_id = load_id or uuid.uuid4().hex
+    if version is not None:
+        _write(df, f"{warehouse}/{table}/{version}/load_id={load_id}", table)
+        return
+    version = f"v-{uuid.uuid4().hex}"
+    _write(df, f"{warehouse}/{table}/{version}/load_id={load_id}", table)
+    _name_current(spark, warehouse, table, version)
 
 
 def replace(df: DataFrame, warehouse: str, table: str) -> str:
     """Write a new version from ``df`` (which may read the old one) and make it current."""
-    spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
-    _write(df, f"{warehouse}/{table}/{version}", table, "errorifexists")
+    _write(df, f"{warehouse}/{table}/{version}/load_id={version}", table)
+    _name_current(df.sparkSession, warehouse, table, version)
+    return version
+
+
+def _name_current(spark: SparkSession, warehouse: str, table: str, version: str) -> None:
     row = spark.range(0, 1, 1, 1).select(
         F.lit(table).alias("table_name"), F.lit(version).alias("version"), F.localtimestamp().alias("committed_at")
     )
     row.write.mode("append").parquet(f"{warehouse}/table_versions")
-    return version
 
 
-def _write(df: DataFrame, path: str, table: str, mode: str) -> None:
-    writer = laid_out(df.select(*TABLES[table].names), table).write.mode(mode)
-    writer = writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+def _write(df: DataFrame, path: str, table: str) -> None:
+    writer = laid_out(df.select(*TABLES[table].names), table).write.mode("overwrite")
+    writer = writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).option("partitionOverwriteMode", "static")
     partitions = PARTITIONS.get(table)
     if partitions:
         writer = writer.partitionBy(*partitions)

@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from toitscope.operators.joins import small_side
-from toitscope.operators.storage import staged
-from toitscope.plans.prices import sale_counts, sale_stats
+from toitscope.plans.prices import sale_stats
 
 AREA = ["region", "dept", "commune_id"]
 # Area columns that name an area at each level, widest first.
@@ -39,8 +37,12 @@ def area_members(communes: DataFrame) -> DataFrame:
 
 def stats_by_level(transactions: DataFrame, communes: DataFrame) -> DataFrame:
     """Count, median and mean prices and mean surface of the country, each region, department, commune."""
-    counts = sale_counts(transactions, ["commune_id"])
-    stats = sale_stats(counts, ["commune_id"], small_side(area_members(communes)))
+    members = area_members(communes)
+    return _by_level(sale_stats(transactions, ["commune_id"], ["prix", "prix_m2"], members, mean_surface=True))
+
+
+def _by_level(stats: DataFrame) -> DataFrame:
+    """Figures of areas with the area columns that apply to their level."""
 
     def applies(name: str) -> Column:
         return F.col("level").isin([level for level, names in LEVELS.items() if name in names])
@@ -57,9 +59,9 @@ def yearly_prices(transactions: DataFrame, communes: DataFrame, area: str = "dep
 
     ``area`` is a column of the register. The change is NULL when the area has no sale in the year before.
     """
-    counts = sale_counts(transactions.withColumn("annee", F.year("date_transaction")), ["commune_id", "annee"])
+    dated = transactions.withColumn("annee", F.year("date_transaction"))
     members = communes.select(F.col("code_insee").alias("commune_id"), F.coalesce(area, F.lit("")).alias("area"))
-    yearly = sale_stats(counts, ["commune_id", "annee"], small_side(members))
+    yearly = sale_stats(dated, ["commune_id", "annee"], ["prix"], members)
     by_year = W.partitionBy("area").orderBy("annee")
     adjacent = F.lag("annee").over(by_year) == F.col("annee") - 1
     change = F.col("prix_median") - F.col("prix_median_before")
@@ -79,23 +81,25 @@ def area_against_parent(transactions: DataFrame, communes: DataFrame) -> DataFra
 
     ``rank_pct`` is 0 for the cheapest commune of a department and 1 for the dearest.
     """
-    # One row per area, read three times below: compute it once.
-    medians = staged(stats_by_level(transactions, communes).select("level", *AREA, "prix_median"), "areas")
-    per_dept = medians.where(F.col("level") == "dept").select(
-        "region", "dept", F.col("prix_median").alias("dept_median")
-    )
+    medians = _by_level(sale_stats(transactions, ["commune_id"], ["prix"], area_members(communes)))
     national = medians.where(F.col("level") == "national").select("prix_median")
-    here = medians.where(F.col("level") == "commune").select(
-        "region", "dept", "commune_id", "prix_median", national.scalar().alias("national_median")
-    )
-    within = W.partitionBy("region", "dept").orderBy("prix_median")
-    return here.join(per_dept, ["region", "dept"]).select(
-        "commune_id",
-        "dept",
-        "prix_median",
-        "dept_median",
-        "national_median",
-        F.round(F.try_divide("prix_median", "dept_median"), 6).alias("ratio_dept"),
-        F.round(F.try_divide("prix_median", "national_median"), 6).alias("ratio_national"),
-        F.percent_rank().over(within).alias("rank_pct"),
+    local = medians.where(F.col("level").isin("dept", "commune"))
+    # A department and its communes meet in one window; both share the region and department columns.
+    within = W.partitionBy("region", "dept")
+    placed = local.withColumn("dept_median", F.max(F.when(F.col("level") == "dept", F.col("prix_median"))).over(within))
+    rank = F.percent_rank().over(W.partitionBy("region", "dept", "level").orderBy("prix_median"))
+    return (
+        placed.withColumn("rank_pct", rank)
+        .where(F.col("level") == "commune")
+        .withColumn("national_median", national.scalar())
+        .select(
+            "commune_id",
+            "dept",
+            "prix_median",
+            "dept_median",
+            "national_median",
+            F.round(F.try_divide("prix_median", "dept_median"), 6).alias("ratio_dept"),
+            F.round(F.try_divide("prix_median", "national_median"), 6).alias("ratio_national"),
+            "rank_pct",
+        )
     )

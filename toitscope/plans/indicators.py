@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from toitscope.plans.prices import sale_counts, sale_stats
+from toitscope.plans.prices import sale_stats
 
 
 def affordability(transactions: DataFrame, demographics: DataFrame) -> DataFrame:
     """Per commune and year: years of median income a median sale costs, and sales per 1,000 inhabitants."""
     keys = ["commune_id", "annee"]
     dated = transactions.withColumn("annee", F.year("date_transaction"))
-    figures = sale_stats(sale_counts(dated, keys), keys)
+    figures = sale_stats(dated, keys, ["prix", "prix_m2"])
     people = demographics.select(*keys, "population", "revenu_median")
     years = F.try_divide(F.col("prix_median"), F.col("revenu_median").cast("double"))
     rate = F.try_divide(F.lit(1000.0) * F.col("nb_transactions"), F.col("population"))

@@ -1,18 +1,23 @@
 """The load: four sources into the warehouse, parents first, every run in the ledger.
 
 Each load parses its files once into a staged Parquet table under the shared folder, with the reasons beside
-each row that cannot be loaded. Counting, aborting, appending and quarantining all read the staged rows, so a
-lost executor costs a re-read of them and never a second parse.
+each row that cannot be loaded; what it counts is observed while that table is written. Aborting, appending and
+quarantining read the staged rows, so a lost executor costs a re-read of them and never a second parse, and they go
+when the load ends. Rejected rows are written after the target has taken the others, under the id of the load: a
+load that fails leaves neither, and one that is repeated under its id leaves both once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from toitscope.functions.text import field as text_field
 from toitscope.operators.cleaning import (
     merge_demographics,
     screen_communes,
@@ -25,7 +30,7 @@ from toitscope.operators.integrity import cascade_delete, mark_orphans, narrow,
 from toitscope.operators.keyed import insert_unique, not_yet_loaded, upsert
 from toitscope.operators.ledger import FAILED, SUCCESS, log_event, start_run
 from toitscope.operators.ranking import latest_per_key
-from toitscope.operators.storage import append, read_table, replace, staged, with_defaults
+from toitscope.operators.storage import append, read_table, replace, staged, staging, with_defaults
 from toitscope.plans.views import EVENTS_FOLDER
 from toitscope.schemas import CHILD_TABLES, TABLES, UNIQUE_KEYS
 from toitscope.sources import landing
@@ -33,8 +38,8 @@ from toitscope.sources import landing
 ORPHAN = "commune_unknown"
 # Columns a register row takes over from a new delivery.
 COMMUNE_UPDATES = ["nom", "dept", "region", "latitude", "longitude"]
-# Raw-row caps on the diagnosis load, per department and for the whole country.
-DPE_CAP_DEPARTMENT, DPE_CAP_COUNTRY = 10_000, 50_000
+# Columns that the sources of demographics deliver.
+DEMOGRAPHIC_FIGURES = ["population", "revenu_median"]
 
 
 class RowsRejected(ValueError):
@@ -68,45 +73,70 @@ def judged(screened: DataFrame, table: str, communes: DataFrame | None = None) -
     return checked.withColumn("violations", broken).drop("_reject", "_orphan")
 
 
-def outcome(rows: DataFrame) -> LoadResult:
-    """Rows to write, rows rejected, and how often each reason occurs."""
-    good = rows.where(F.col("good") == "true").count()
-    bad = rows.where(F.col("good") == "false")
-    rejected = bad.count()
-    counted = bad.select(F.explode("violations").alias("code")).groupBy("code").count()
-    # One row per rule: the driver receives no more than the rule set holds.
-    reasons = {row["code"]: row["count"] for row in counted.collect()} if rejected else {}
-    return LoadResult(good, rejected, reasons)
+@dataclass
+class Settled:
+    """Staged rows of one source: the good ones, what became of all, and the rejects until they are set aside."""
+
+    good: DataFrame
+    result: LoadResult
+    rejects: DataFrame
+    name: str
 
+    def quarantine(self, warehouse: str, load_id: str) -> None:
+        if self.result.rows_rejected:
+            folder = f"{warehouse}/quarantine/load_id={load_id}/source={self.name}"
+            self.rejects.withColumn("rejected_at", F.localtimestamp()).write.mode("overwrite").parquet(folder)
 
-def settle(
-    checked: DataFrame, table: str, warehouse: str, on_violation: str = "quarantine"
-) -> tuple[DataFrame, LoadResult]:
-    """Stage judged rows and return the good ones.
 
-    The others go to the quarantine table (``quarantine``), or stop the load before it writes (``abort``).
+def settle(checked: DataFrame, table: str, on_violation: str = "quarantine", name: str | None = None) -> Settled:
+    """Stage judged rows, counting them as they are written.
+
+    With ``abort`` a row that breaks a rule stops the load before it writes.
     """
-    good = (F.size("violations") == 0).cast("string")
-    rows = staged(checked.withColumn("good", good), table, "good")
-    result = outcome(rows)
+    seen = Observation()
+    is_good = F.size("violations") == 0
+    marked = checked.withColumn("good", is_good.cast("string")).observe(
+        seen, F.count_if(is_good).alias("good"), F.count_if(~is_good).alias("bad")
+    )
+    rows = staged(marked, name or table, "good")
+    counts = seen.get
+    bad = rows.where(F.col("good") == "false")
+    reasons = {}
+    if counts["bad"]:
+        # One row per rule: the driver receives no more than the rule set holds.
+        per_rule = bad.select(F.explode("violations").alias("code")).groupBy("code").count()
+        reasons = {row["code"]: row["count"] for row in per_rule.collect()}
+    result = LoadResult(counts["good"], counts["bad"], reasons)
     if result.rows_rejected and on_violation == "abort":
         raise RowsRejected(f"{table}: {result.rows_rejected} rows rejected, {result.reasons}")
-    if result.rows_rejected:
-        values = [name for name in checked.columns if name != "violations"]
-        rows.where(F.col("good") == "false").select(
-            F.lit(table).alias("table_name"),
-            F.to_json(F.struct(*values)).alias("row"),
-            "violations",
-            F.localtimestamp().alias("rejected_at"),
-        ).write.mode("append").parquet(f"{warehouse}/quarantine")
-    return rows.where(F.col("good") == "true").drop("violations", "good"), result
-
-
-def load_communes(spark: SparkSession, root: str, warehouse: str, on_violation: str = "quarantine") -> LoadResult:
+    values = [column for column in checked.columns if column != "violations"]
+    rejects = bad.select(F.lit(table).alias("table_name"), F.to_json(F.struct(*values)).alias("row"), "violations")
+    return Settled(rows.where(F.col("good") == "true").drop("violations", "good"), result, rejects, name or table)
+
+
+def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
+    """Rejected rows of every load, with the ``load_id`` and the ``source`` they came by."""
+    return spark.read.option("basePath", f"{warehouse}/quarantine").parquet(f"{warehouse}/quarantine")
+
+
+def in_staging(load: Callable) -> Callable:
+    """Gives a load its staging folder and, unless the caller has one, its id."""
+
+    @wraps(load)
+    def run(spark: SparkSession, *args, load_id: str | None = None, **options):
+        with staging(spark):
+            return load(spark, *args, load_id=load_id or uuid.uuid4().hex, **options)
+
+    return run
+
+
+@in_staging
+def load_communes(
+    spark: SparkSession, root: str, warehouse: str, on_violation: str = "quarantine", load_id: str = ""
+) -> LoadResult:
     """Upsert the register. The last good row of a code wins; stored stamps and population are kept."""
-    checked = judged(screen_communes(landing.read_communes(spark, root)), "communes")
-    good, result = settle(checked, "communes", warehouse, on_violation)
-    incoming = narrow(latest_per_key(good, ["code_insee"], F.col("_pos")), "communes")
+    found = settle(judged(screen_communes(landing.read_communes(spark, root)), "communes"), "communes", on_violation)
+    incoming = narrow(latest_per_key(found.good, ["code_insee"], F.col("_pos")), "communes")
     now = F.localtimestamp()
     merged = upsert(
         read_table(spark, warehouse, "communes"),
@@ -116,9 +146,11 @@ def load_communes(spark: SparkSession, root: str, warehouse: str, on_violation:
         {"created_at": now, "updated_at": now},
     )
     replace(merged, warehouse, "communes")
-    return result
+    found.quarantine(warehouse, load_id)
+    return found.result
 
 
+@in_staging
 def load_transactions(
     spark: SparkSession,
     root: str,
@@ -126,36 +158,41 @@ def load_transactions(
     years: list[int] | None = None,
     departments: list[str] | None = None,
     separator: str | None = None,
-    limit: int | None = None,
     only_new: bool = False,
     on_violation: str = "quarantine",
+    load_id: str = "",
 ) -> LoadResult:
-    """Append sales. ``only_new`` leaves out rows that earlier loads of the same years brought in."""
+    """Append sales. ``only_new`` leaves out rows that earlier loads brought in."""
     raw = landing.read_transactions(spark, root, years, departments, separator)
-    screened = screen_transactions(landing.first_rows(raw, limit)).drop("_pos")
-    checked = judged(screened, "transactions", read_table(spark, warehouse, "communes"))
-    good, result = settle(checked, "transactions", warehouse, on_violation)
-    batch = narrow(good, "transactions")
+    return store_transactions(raw, warehouse, only_new, on_violation, load_id)
+
+
+def store_transactions(
+    raw: DataFrame, warehouse: str, only_new: bool, on_violation: str, load_id: str
+) -> LoadResult:
+    """Judge landed sales, append the good ones and set the others aside, under one load id."""
+    spark = raw.sparkSession
+    screened = screen_transactions(raw).drop("_pos")
+    found = settle(
+        judged(screened, "transactions", read_table(spark, warehouse, "communes")), "transactions", on_violation
+    )
+    batch, result = narrow(found.good, "transactions"), found.result
     if only_new:
-        stored = read_table(spark, warehouse, "transactions")
-        if years:
-            stored = stored.where(F.col("year").isin(years))
-            # A file of one year may hold a sale of another; such rows meet the whole table.
-            stray = not_yet_loaded(
-                batch.where(~F.year("date_transaction").isin(years)),
-                read_table(spark, warehouse, "transactions").where(~F.col("year").isin(years)),
-                batch.columns,
-            )
-            batch = batch.where(F.year("date_transaction").isin(years))
-            batch = not_yet_loaded(batch, stored, batch.columns).unionByName(stray)
-        else:
-            batch = not_yet_loaded(batch, stored, batch.columns)
-        batch = staged(batch, "transactions-new")
-        result.rows_written = batch.count()
-    append(with_defaults(batch, "transactions"), warehouse, "transactions")
+        # Equal sales are of one year: only the folders of years that come in are read. One row per year is collected.
+        years = [row["y"] for row in batch.select(F.year("date_transaction").alias("y")).distinct().collect()]
+        stored = read_table(spark, warehouse, "transactions").where(F.col("year").isin(years))
+        counted = Observation()
+        batch = staged(
+            not_yet_loaded(batch, stored, batch.columns).observe(counted, F.count(F.lit(1)).alias("n")),
+            "transactions-new",
+        )
+        result.rows_written = counted.get["n"]
+    append(with_defaults(batch, "transactions"), warehouse, "transactions", load_id)
+    found.quarantine(warehouse, load_id)
     return result
 
 
+@in_staging
 def load_demographics(
     spark: SparkSession,
     root: str,
@@ -163,31 +200,27 @@ def load_demographics(
     year: int,
     on_conflict: str = "abort",
     on_violation: str = "quarantine",
+    load_id: str = "",
 ) -> LoadResult:
-    """Merge population and income of one year and add them under the (commune, year) key."""
-    population, seen = settle(
-        judged(screen_population(landing.read_population(spark, root)), "demographics"),
-        "population",
-        warehouse,
-        on_violation,
-    )
-    income, also = settle(
-        judged(screen_income(landing.read_income(spark, root)), "demographics"), "income", warehouse, on_violation
-    )
-    merged = merge_demographics(
-        latest_per_key(population, ["commune_id"], F.col("_pos")),
-        latest_per_key(income, ["commune_id"], F.col("_pos")),
-        year,
-    )
+    """Merge population and income of one year and add them under the (commune, year) key.
+
+    ``update`` replaces the figures a delivery brings and leaves those it does not, and all others, as stored.
+    """
+    sources = {
+        "population": screen_population(landing.read_population(spark, root)),
+        "income": screen_income(landing.read_income(spark, root)),
+    }
+    parts = [settle(judged(rows, "demographics"), "demographics", on_violation, name) for name, rows in sources.items()]
+    merged = merge_demographics(*[latest_per_key(part.good, ["commune_id"], F.col("_pos")) for part in parts], year)
     checked = judged(merged, "demographics", read_table(spark, warehouse, "communes"))
-    good, result = settle(checked, "demographics", warehouse, on_violation)
-    batch = narrow(good, "demographics")
+    found = settle(checked, "demographics", on_violation)
+    batch, result = narrow(found.good, "demographics"), found.result
     stored = read_table(spark, warehouse, "demographics")
     keys = UNIQUE_KEYS["demographics"]
     if on_conflict == "update":
-        names = [name for name in batch.columns if name not in keys]
         now = F.localtimestamp()
-        whole = upsert(stored, batch, keys, names, {"created_at": now, "updated_at": now})
+        stamps = {"created_at": now, "updated_at": now}
+        whole = upsert(stored, batch, keys, DEMOGRAPHIC_FIGURES, stamps, keep_missing=True, touch={"updated_at": now})
         replace(whole, warehouse, "demographics")
     else:
         # The merge holds each key once, so any constant serves as the row order of "skip".
@@ -195,36 +228,43 @@ def load_demographics(
         if on_conflict == "skip":
             added = staged(added, "demographics-new")
             result.rows_written = added.count()
-        append(with_defaults(added, "demographics"), warehouse, "demographics")
-    rejects = LoadResult(0, seen.rows_rejected + also.rows_rejected, (seen + also).reasons)
-    return result + rejects
+        append(with_defaults(added, "demographics"), warehouse, "demographics", load_id)
+    for part in [*parts, found]:
+        part.quarantine(warehouse, load_id)
+    seen = parts[0].result + parts[1].result
+    return result + LoadResult(0, seen.rows_rejected, seen.reasons)
 
 
+@in_staging
 def load_dpe(
     spark: SparkSession,
     root: str,
     warehouse: str,
     departments: list[str] | None = None,
-    cap: int | None = None,
-    postal_prefix: str | None = None,
     on_violation: str = "quarantine",
+    load_id: str = "",
 ) -> LoadResult:
-    """Append diagnoses; ``cap`` counts raw rows per department, or of the whole source without a choice.
+    """Append all diagnoses, or those of communes that the register places in the given departments.
 
-    ``postal_prefix`` takes only rows whose postal code starts with it; Corsican departments (2A, 2B) have no
-    such prefix, so choose those by folder.
+    Landing folders named by department are pruned by the choice as well.
     """
+    communes = read_table(spark, warehouse, "communes")
     raw = landing.read_dpe(spark, root, departments)
-    if postal_prefix:
-        raw = landing.by_postal_prefix(raw, postal_prefix, cap)
-    elif departments:
-        raw = landing.first_rows_per_department(raw, cap)
-    else:
-        raw = landing.first_rows(raw, cap)
-    checked = judged(screen_dpe(raw).drop("_pos"), "dpe", read_table(spark, warehouse, "communes"))
-    good, result = settle(checked, "dpe", warehouse, on_violation)
-    append(with_defaults(narrow(good, "dpe"), "dpe"), warehouse, "dpe")
-    return result
+    if departments:
+        raw = of_departments(raw, communes, departments)
+    found = settle(judged(screen_dpe(raw).drop("_pos"), "dpe", communes), "dpe", on_violation)
+    append(with_defaults(narrow(found.good, "dpe"), "dpe"), warehouse, "dpe", load_id)
+    found.quarantine(warehouse, load_id)
+    return found.result
+
+
+def of_departments(raw: DataFrame, communes: DataFrame, departments: list[str]) -> DataFrame:
+    """Landed diagnoses whose commune the register places in one of the departments.
+
+    Rows with a code the register does not know stay: they are judged, and set aside with a reason.
+    """
+    elsewhere = communes.where(~F.col("dept").isin(departments)).select("code_insee")
+    return raw.join(elsewhere, text_field(F.col("`Code_INSEE_(BAN)`")) == F.col("code_insee"), "left_anti")
 
 
 def tracked(
@@ -232,19 +272,22 @@ def tracked(
     warehouse: str,
     name: str,
     table: str,
-    load: Callable[[], LoadResult],
+    load: Callable[[str], LoadResult],
     metadata: dict | None = None,
+    pipeline_id: str | None = None,
 ) -> bool:
-    """Run one load under the ledger. A failure is recorded and reported, and does not stop the next load."""
+    """Run one load under the ledger; it gets the run's id. A failure is recorded, and does not stop the next load."""
     path = f"{warehouse}/{EVENTS_FOLDER}"
-    run_id = start_run(spark, path, name, metadata)
+    run_id = start_run(spark, path, name, metadata, pipeline_id)
     try:
-        result = load()
+        result = load(run_id)
         total = read_table(spark, warehouse, table).count()
     except Exception as error:  # the ledger keeps whatever went wrong
-        log_event(spark, path, run_id, name, FAILED, error=str(error), metadata=metadata)
+        log_event(spark, path, run_id, name, FAILED, error=str(error), metadata=metadata, pipeline_id=pipeline_id)
         return False
-    log_event(spark, path, run_id, name, SUCCESS, result.rows_written, total, metadata=metadata)
+    log_event(
+        spark, path, run_id, name, SUCCESS, result.rows_written, total, metadata=metadata, pipeline_id=pipeline_id
+    )
     return True
 
 
@@ -255,49 +298,35 @@ def load_all(
     year: int = 2023,
     departments: list[str] | None = None,
     skip_communes: bool = False,
-    dpe_cap: int | None = -1,
     **options,
 ) -> dict[str, bool]:
-    """All four loads in foreign-key order; says which of them succeeded.
+    """All four loads in foreign-key order, as one pipeline of the ledger; says which of them succeeded.
 
-    One scan takes all chosen departments together. ``dpe_cap`` -1 stands for the usual caps, ``None`` for none.
+    One scan takes all chosen departments together.
     """
-    if dpe_cap == -1:
-        dpe_cap = DPE_CAP_DEPARTMENT if departments else DPE_CAP_COUNTRY
     scope = {"departments": departments} if departments else {"scope": "france"}
+    pipeline_id = uuid.uuid4().hex
+
+    def run(table: str, load: Callable[[str], LoadResult], metadata: dict | None = None) -> bool:
+        return tracked(spark, warehouse, f"{table}_loader", table, load, metadata, pipeline_id)
+
     done: dict[str, bool] = {}
     if not skip_communes:
-        done["communes"] = tracked(
-            spark, warehouse, "communes_loader", "communes", lambda: load_communes(spark, root, warehouse)
-        )
-    done["transactions"] = tracked(
-        spark,
-        warehouse,
-        "transactions_loader",
+        done["communes"] = run("communes", lambda run_id: load_communes(spark, root, warehouse, load_id=run_id))
+    done["transactions"] = run(
         "transactions",
-        lambda: load_transactions(spark, root, warehouse, [year], departments, **options),
+        lambda run_id: load_transactions(spark, root, warehouse, [year], departments, load_id=run_id, **options),
         {"year": year, **scope},
     )
-    done["demographics"] = tracked(
-        spark,
-        warehouse,
-        "demographics_loader",
-        "demographics",
-        lambda: load_demographics(spark, root, warehouse, year),
-        {"year": year},
-    )
-    done["dpe"] = tracked(
-        spark,
-        warehouse,
-        "dpe_loader",
-        "dpe",
-        lambda: load_dpe(spark, root, warehouse, departments, dpe_cap),
-        {**scope, "limit": dpe_cap},
+    done["demographics"] = run(
+        "demographics", lambda run_id: load_demographics(spark, root, warehouse, year, load_id=run_id), {"year": year}
     )
+    done["dpe"] = run("dpe", lambda run_id: load_dpe(spark, root, warehouse, departments, load_id=run_id), scope)
     return done
 
 
-def remove_communes(spark: SparkSession, warehouse: str, deleted: DataFrame) -> None:
+@in_staging
+def remove_communes(spark: SparkSession, warehouse: str, deleted: DataFrame, load_id: str = "") -> None:
     """Delete communes (``code_insee`` rows) and, with them, their rows in every child table."""
     gone = staged(deleted.select("code_insee").distinct(), "deleted")
     for child in CHILD_TABLES:

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toitscope.functions.measures import months_before
-from toitscope.operators.medians import amount_counts, amount_stats
+from toitscope.operators.medians import amount_counts, amount_means, amount_stats
 from toitscope.operators.ranking import top
 
 WINDOW_MONTHS = 12
-# Amounts of a sale and the cents per block when their median is looked for.
-AMOUNTS = {"prix": 100_000, "prix_m2": 1_000, "surface": 1_000}
+# Amounts of a sale whose median is looked for, and the cents per block when it is.
+BLOCKS = {"prix": 1_000_000, "prix_m2": 100_000}
 
 
 def trailing_year(transactions: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -24,24 +24,33 @@ def trailing_year(transactions: DataFrame, as_of: Column | None = None) -> DataF
     return recent
 
 
-def sale_counts(transactions: DataFrame, keys: list[str]) -> DataFrame:
-    """How often each price, price per m2 and surface occurs per key; one pass over the sales."""
-    placed = transactions.where(F.col("commune_id").isNotNull())
-    return amount_counts(placed, keys, list(AMOUNTS))
-
+def sale_stats(
+    transactions: DataFrame,
+    keys: list[str],
+    measures: list[str],
+    members: DataFrame | None = None,
+    mean_surface: bool = False,
+) -> DataFrame:
+    """Sales, and mean and median of the ``measures`` (prix, prix_m2), per group; see ``amount_stats`` for groups.
 
-def sale_stats(counts: DataFrame, keys: list[str], members: DataFrame | None = None) -> DataFrame:
-    """Price columns per group; see ``amount_stats`` for keys and members."""
-    stats = amount_stats(counts, keys, AMOUNTS, members)
-    figures = ["nb_rows", *[f"{name}_{kind}" for name in AMOUNTS for kind in ("mean", "median")]]
-    return stats.select(
-        *[name for name in stats.columns if name not in figures],
+    A sale becomes one row per measure, so only those that are read should be asked for. The mean surface needs no
+    such rows: it is a sum and a count per key.
+    """
+    placed = transactions.where(F.col("commune_id").isNotNull())
+    blocks = {name: BLOCKS[name] for name in measures}
+    stats = amount_stats(amount_counts(placed, keys, measures), keys, blocks, members)
+    figures = ["nb_rows", *[f"{name}_{kind}" for name in measures for kind in ("mean", "median")]]
+    groups = [name for name in stats.columns if name not in figures]
+    out = stats.select(
+        *groups,
         F.col("nb_rows").alias("nb_transactions"),
-        F.col("prix_median"),
-        F.col("prix_m2_median"),
-        F.col("prix_mean").alias("prix_moyen"),
-        F.col("surface_mean").alias("surface_moyenne"),
+        *[F.col(f"{name}_median") for name in measures],
+        *([F.col("prix_mean").alias("prix_moyen")] if "prix" in measures else []),
     )
+    if not mean_surface:
+        return out
+    surfaces = amount_means(placed, keys, "surface", members).withColumnRenamed("surface_mean", "surface_moyenne")
+    return out.join(surfaces, groups)
 
 
 def price_stats(transactions: DataFrame, communes: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -50,7 +59,7 @@ def price_stats(transactions: DataFrame, communes: DataFrame, as_of: Column | No
     Sales are reduced to one row per commune before they meet the register, so the sales themselves are
     never joined.
     """
-    figures = sale_stats(sale_counts(trailing_year(transactions, as_of), ["commune_id"]), ["commune_id"])
+    figures = sale_stats(trailing_year(transactions, as_of), ["commune_id"], ["prix", "prix_m2"], mean_surface=True)
     register = communes.select(
         F.col("code_insee").alias("commune_id"), F.col("nom").alias("commune_nom"), "dept", "region"
     )
@@ -73,7 +82,7 @@ def department_prices(transactions: DataFrame, communes: DataFrame) -> DataFrame
         F.count("*").alias("nb"), F.count("prix").alias("nb_prix"), F.sum("prix").alias("total")
     )
     register = communes.select(F.col("code_insee").alias("commune_id"), "dept")
-    total, number = F.sum("total").cast("decimal(26,2)"), F.sum("nb_prix").cast("decimal(12,0)")
+    total, number = F.sum("total").cast("decimal(26,2)"), F.sum("nb_prix").cast("decimal(18,0)")
     return (
         per_commune.join(register, "commune_id")
         .groupBy("dept")

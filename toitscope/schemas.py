@@ -33,8 +33,6 @@ DPE_COLUMNS = [
     "Surface_habitable_logement",
     "Date_établissement_DPE",
 ]
-# The diagnosis files also carry this one; only the postal-prefix selection reads it.
-DPE_POSTAL_COLUMN = "Code_postal_BAN"
 
 
 @dataclass(frozen=True)
@@ -54,9 +52,7 @@ TRANSACTIONS_SOURCE = Source(
 )
 POPULATION_SOURCE = Source("population", ";", POPULATION_COLUMNS, ["COM", "PMUN"])
 INCOME_SOURCE = Source("income", ";", INCOME_COLUMNS, ["CODGEO", "MED21"])
-DPE_SOURCE = Source(
-    "dpe", ",", DPE_COLUMNS, ["Code_INSEE_(BAN)", "Etiquette_DPE"], [DPE_POSTAL_COLUMN]
-)
+DPE_SOURCE = Source("dpe", ",", DPE_COLUMNS, ["Code_INSEE_(BAN)", "Etiquette_DPE"])
 
 
 def _schema(*fields: tuple) -> T.StructType:

@@ -1,4 +1,4 @@
-"""Where landed files lie, and which of their rows to take.
+"""Where landed files lie, and which of their folders to read.
 
 Layout: ``<root>/<source>/`` for communes, population and income;
 ``<root>/transactions/year=<yyyy>/dept=<code>/`` and ``<root>/dpe/dept=<code>/`` for the large two, so that
@@ -13,10 +13,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toitscope.operators.ranking import first_n_per_group
 from toitscope.schemas import (
     COMMUNES_SOURCE,
-    DPE_POSTAL_COLUMN,
     DPE_SOURCE,
     INCOME_SOURCE,
     POPULATION_SOURCE,
@@ -74,20 +72,3 @@ def chosen(years: list[int] | None = None, departments: list[str] | None = None)
     if departments:
         conditions.append(F.col("dept").isin(departments))
     return reduce(and_, conditions) if conditions else None
-
-
-def by_postal_prefix(
-    raw: DataFrame, prefix: str, cap: int | None = None, column: str = DPE_POSTAL_COLUMN, order=None
-) -> DataFrame:
-    """Rows whose postal code starts with ``prefix``; with ``cap``, the first ones in file order."""
-    chosen = raw.where(F.col(column).startswith(prefix))
-    return first_rows(chosen, cap, order)
-
-
-def first_rows(raw: DataFrame, cap: int | None, order=None) -> DataFrame:
-    """The first ``cap`` raw rows, valid or not; no cap when it is ``None`` or 0."""
-    return first_n_per_group(raw, [], [F.col("_pos") if order is None else order], cap)
-
-
-def first_rows_per_department(raw: DataFrame, cap: int | None, order=None) -> DataFrame:
-    return first_n_per_group(raw, ["dept"], [F.col("_pos") if order is None else order], cap)

@@ -1,8 +1,8 @@
-"""Stored tables, SQL with named parameters, and rows as dictionaries."""
+"""Stored tables and SQL with named parameters."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +13,16 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def query(spark: SparkSession, sql: str, params: dict[str, object] | None = None, **tables: DataFrame) -> DataFrame:
-    """Run SQL with ``:name`` parameters; ``tables`` are visible to it under their keyword names."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=params or {})
-
-
-def as_dicts(df: DataFrame) -> Iterator[dict]:
-    """Rows as dictionaries, one partition at a time on the driver."""
-    return (row.asDict() for row in df.toLocalIterator())
+    """Run SQL with ``:name`` parameters; ``tables`` are visible to it under their keyword names, and only to it."""
+    views = {name: f"_{uuid.uuid4().hex}" for name in tables}
+    for name, view in views.items():
+        tables[name].createOrReplaceTempView(view)
+    named = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in views.items())
+    try:
+        return spark.sql(f"WITH {named} SELECT * FROM (\n{sql}\n)" if named else sql, args=params or {})
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,20 +1,23 @@
 """Each landed file is cleaned and loaded once.
 
 The file source remembers paths, so every delivery has to land under a new path (a dated folder). A run takes
-all files that are new since the last one and stops. A batch that is repeated after a failure overwrites its
-own folder, so nothing is loaded twice.
+all files that are new since the last one and stops. A batch that is repeated after a failure overwrites what it
+left before, so nothing is loaded twice. The checkpoint says what was taken and belongs to one target: the caller
+names it, in a folder that outlives the session.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
-from toitscope.schemas import Source
-from toitscope.session import shared_folder
+from toitscope.operators.storage import staging
+from toitscope.plans.loading import store_transactions
+from toitscope.schemas import TRANSACTIONS_SOURCE, Source
 from toitscope.sources.delimited import csv_options, header_schema, located, shape, with_corrupt
 
 
@@ -49,27 +52,62 @@ def stream_parquet(
     return stream_reader(spark, glob, files_per_batch).schema(schema).parquet(path)
 
 
-def ingest_delimited(
+def stream_delimited(
     spark: SparkSession,
     path: str,
     source: Source,
-    clean: Callable[[DataFrame], DataFrame],
-    target: str,
-    checkpoint: str | None = None,
     separator: str | None = None,
     glob: str = "*.csv",
     files_per_batch: int | None = None,
-) -> None:
-    """Clean and store every delimited file under ``path`` that no earlier run took.
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """A stream of the delimited files under ``path`` and what shapes a batch of it like the batch read.
 
-    ``clean`` gets rows shaped as by the batch read. A header that differs from the first file's stops the run.
+    A header that differs from the first file's stops the run.
     """
     separator = separator or source.separator
     schema = header_schema(spark, path, separator, glob, folders=False)
     reader = stream_reader(spark, glob, files_per_batch).schema(with_corrupt(schema))
     stream = located(reader.options(**csv_options(separator)).csv(path))
+    return stream, lambda batch: shape(batch, schema, source)
+
+
+def ingest_delimited(
+    spark: SparkSession,
+    path: str,
+    source: Source,
+    clean: Callable[[DataFrame], DataFrame],
+    target: str,
+    checkpoint: str,
+    separator: str | None = None,
+    glob: str = "*.csv",
+    files_per_batch: int | None = None,
+) -> None:
+    """Clean every delimited file under ``path`` that no earlier run took and store it under ``target``."""
+    stream, shaped = stream_delimited(spark, path, source, separator, glob, files_per_batch)
+    ingest(stream, target, lambda batch: clean(shaped(batch)), checkpoint)
 
-    def prepare(batch: DataFrame) -> DataFrame:
-        return clean(shape(batch, schema, source))
 
-    ingest(stream, target, prepare, checkpoint or f"{shared_folder(spark)}/ingest-{source.name}")
+def ingest_transactions(
+    spark: SparkSession,
+    path: str,
+    warehouse: str,
+    checkpoint: str,
+    separator: str | None = None,
+    files_per_batch: int | None = None,
+) -> None:
+    """Load sales that landed under ``path`` since the last run into the warehouse: rules, register and quarantine as
+    in the batch load, each batch under a load id made of the checkpoint and its number."""
+    stream, shaped = stream_delimited(spark, path, TRANSACTIONS_SOURCE, separator, files_per_batch=files_per_batch)
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        with staging(batch.sparkSession):
+            store_transactions(shaped(batch), warehouse, False, "quarantine", f"stream-{name}-{batch_id}")
+
+    query = (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
