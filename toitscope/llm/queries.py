@@ -156,6 +156,70 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM ranked
 """
 
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
+_LOWER = f"translate(%s, '{licenses.UPPER}', '{licenses.LOWER}')"
+_TERMS = "trim(regexp_replace(%s, '[^a-z0-9]+', ' ', 'g'))"
+
+ORACLE["op8_license_scan"] = f"""
+WITH placed AS (
+  SELECT row_number() OVER () AS row, doc_id, {_LOWER % "coalesce(text, '')"} AS lower,
+         CASE WHEN source IS NOT NULL AND doc_id IS NOT NULL THEN
+           CASE WHEN doc_id % 512 = 0 THEN concat_ws('/', source, doc_id // 512, 'LICENSE')
+                WHEN doc_id % 64 = 0 THEN concat_ws('/', source, doc_id // 512, doc_id // 64, 'LICENSE')
+                ELSE concat_ws('/', source, doc_id // 512, doc_id // 64, doc_id || '.txt') END END AS path
+  FROM documents
+), files AS (
+  SELECT *, regexp_replace(path, '/?[^/]*$', '') AS directory, coalesce(path LIKE '%/LICENSE', false) AS gives FROM placed
+), templates(template, license, text) AS (VALUES {_TEMPLATES}
+), template_terms AS (
+  SELECT template, license, term, count(*) AS tf
+  FROM (SELECT template, license, unnest(string_split({_TERMS % (_LOWER % "text")}, ' ')) AS term FROM templates) GROUP BY ALL
+), vocabulary AS (
+  SELECT DISTINCT term FROM template_terms
+), totals AS (
+  SELECT count(*) AS n FROM files
+), met AS (
+  SELECT term, count(*) AS df FROM (SELECT DISTINCT row, unnest(string_split({_TERMS % "lower"}, ' ')) AS term FROM files) GROUP BY term
+), idf AS (
+  SELECT v.term, ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM vocabulary v CROSS JOIN totals LEFT JOIN met USING (term)
+), template_weights AS (
+  SELECT template, license, term, tf * idf AS w FROM template_terms JOIN idf USING (term)
+), template_norms AS (
+  SELECT template, sqrt(sum(w * w)) AS norm FROM template_weights GROUP BY template
+), segments AS (
+  SELECT DISTINCT row, {_TERMS % "segment"} AS segment
+  FROM (SELECT row, unnest(string_split(lower, chr(10))) AS segment FROM files
+        UNION ALL SELECT row, lower FROM files WHERE gives)
+), weights AS (
+  SELECT segment, term, count(*) * coalesce(any_value(idf), ln(1 + any_value(n)) + 1) AS w
+  FROM (SELECT segment, unnest(string_split(segment, ' ')) AS term FROM (SELECT DISTINCT segment FROM segments))
+  LEFT JOIN idf USING (term) CROSS JOIN totals GROUP BY segment, term
+), norms AS (
+  SELECT segment, sqrt(sum(w * w)) AS own_norm FROM weights GROUP BY segment
+), cosines AS (
+  SELECT segment, license, round(sum(s.w * t.w) / any_value(norm) / any_value(own_norm), 6) AS cosine
+  FROM weights s JOIN template_weights t USING (term) JOIN template_norms USING (template) JOIN norms USING (segment)
+  GROUP BY segment, template, license
+), best AS (
+  SELECT row, license, cosine FROM segments JOIN cosines USING (segment) WHERE cosine >= {licenses.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY cosine DESC, license) = 1
+), own AS (
+  SELECT row, doc_id, path, directory, gives, license, cosine FROM files LEFT JOIN best USING (row)
+), gifts AS (
+  SELECT directory AS ancestor, license AS gift, cosine AS gift_cosine, path AS gift_path FROM own WHERE gives AND license IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY cosine DESC, license, path) = 1
+), nearest AS (
+  SELECT d.directory, g.* FROM (SELECT DISTINCT directory FROM own) d
+  JOIN gifts g ON ancestor = '' OR ancestor = d.directory OR starts_with(d.directory, ancestor || '/')
+  QUALIFY row_number() OVER (PARTITION BY d.directory ORDER BY length(ancestor) DESC) = 1
+)
+SELECT doc_id, path, coalesce(license, gift) AS license,
+       CASE WHEN license IS NULL THEN gift_cosine ELSE cosine END AS similarity,
+       CASE WHEN license IS NOT NULL THEN 'own' WHEN gift IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN license IS NOT NULL THEN path ELSE gift_path END AS license_path
+FROM own LEFT JOIN nearest USING (directory)
+"""
+
 ORACLE["op9_exact_dedup"] = """
 WITH bodies AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
