@@ -25,10 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
     rounds = []
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        least = staged(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("root")), "least")
+        least = both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("root"))
         onward = least.select(F.col("node").alias("root"), F.col("root").alias("further"))
         step = staged(least.join(onward, "root").select("node", F.col("further").alias("root")), "contraction")
-        drop(least)
         first = edges.join(step.select(F.col("node").alias("a"), F.col("root").alias("x")), "a").select("x", "b")
         both = first.join(step.select(F.col("node").alias("b"), F.col("root").alias("y")), "b").where("x != y")
         shorter = staged(both.select(*_ordered("x", "y")).distinct(), "edges")

@@ -2,13 +2,16 @@
 
 A document is the set of its word shingles, as 64-bit hashes; texts with equal sets form a class and travel as one.
 Each tree of the forest sorts all classes by its own order of signature slots. Neighbours in a sorted order share the
-longest prefixes that anything shares there, so each class is compared with the few before it as long as they share
+longest prefixes that anything shares there, so each class is paired with the few before it as long as they share
 the least depth: where many classes are alike the neighbours agree to a greater depth, where few are, a short prefix
 will do. Orders are dealt by range with the class as last key, so no task holds a region whole, and the first and
 last rows of each range meet in one small extra pass.
 
-Candidates are confirmed on their full sets, first the most promising one of each class, then all that still join
-different components.
+Pairs whose signatures are far from similar enough go. Of the rest, each class confirms the most similar ones on full
+sets. Neighbours are few by design, and so are those that are confirmed, so links may hide where many classes are
+alike. There the exact way takes over: what the neighbours connect is a region, and in each region that is not one
+component by now, all classes of different components are compared on their full sets, a block against a block at a
+time, without writing the pairs out.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +37,10 @@ DEPTH = 8
 LEAST_DEPTH = 3
 NEIGHBOURS = 2
 CHUNK = 1 << 20
+#: Pairs go when their signatures agree in this much less than the links ask for: over five standard deviations.
+MARGIN = 0.25
+FOREMOST = 3
+BLOCK = 1024
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -242,6 +250,110 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * union).select("a", "b")
 
 
+def likely(pairs: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
+    """The pairs whose signatures agree in at least ``floor`` of their slots: ``a, b, alike``."""
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(n, SLOTS) for c in (2, 3))
+            alike = (x == y).sum(axis=1)
+            near = pa.array(np.flatnonzero(alike >= floor * SLOTS))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(near), batch.column(1).take(near), pa.array(alike.astype(np.int64)).take(near)],
+                names=["a", "b", "alike"],
+            )
+
+    left = pairs.select("a", "b").join(classes.select(F.col("digest").alias("a"), F.col("signature").alias("x")), "a")
+    both = left.join(classes.select(F.col("digest").alias("b"), F.col("signature").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(agreeing, "a binary, b binary, alike bigint")
+
+
+def foremost(pairs: DataFrame, n: int = FOREMOST) -> DataFrame:
+    """The pairs that are among the ``n`` most alike of either end; no class has more than a few to choose from."""
+    ends = pairs.select("a", "b", "alike").union(pairs.select("b", "a", "alike"))
+    ranked = ends.withColumn("place", F.row_number().over(W.partitionBy("a").orderBy(F.desc("alike"), "b")))
+    return ranked.where(F.col("place") <= n).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _compared(percent: int):
+    """A task that compares the full sets of two blocks of a region across components."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, roots = table.column("node").to_pylist(), table.column("root").to_pylist()
+        sets = table.column("shingles").combine_chunks()
+        values, starts = np.asarray(sets.flatten()), np.asarray(sets.offsets) - sets.offsets[0].as_py()
+        size = np.diff(starts)
+        side = table.column("side").to_numpy()
+        mine, theirs = (range(len(nodes)),) * 2 if (side == 2).all() else (np.flatnonzero(side == k).tolist() for k in (0, 1))
+        top: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while top.setdefault(x, x) != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        # Which of the other block have each shingle: their places, one run for each shingle in order.
+        owner = np.repeat(np.arange(len(nodes)), size)
+        other = np.isin(owner, np.array(theirs, np.int64))
+        order = np.argsort(values[other], kind="stable")
+        keys, owners = values[other][order], owner[other][order]
+        out = []
+        for i in mine:
+            own = values[starts[i] : starts[i + 1]]
+            first, last = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            runs = last - first
+            at = np.repeat(first - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
+            shared = np.bincount(owners[at], minlength=len(nodes))
+            near = np.flatnonzero((shared > 0) & (100 * shared >= percent * (size[i] + size - shared)))
+            for j in near.tolist():
+                a, b = find(roots[i]), find(roots[j])
+                if a != b:
+                    top[max(a, b)] = min(a, b)
+                    out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+
+    return compare
+
+
+def compared_regions(pairs: DataFrame, root: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Edges between different components of the regions that ``pairs`` connect, from comparing all across.
+
+    The classes of a region's largest component need no comparison with each other: they meet blocks of the others
+    only. So does each of the others, and all others meet among themselves.
+    """
+    region = components(pairs.select("a", "b"))
+    members = region.select("node", F.col("root").alias("region")).join(root, "node", "left")
+    members = staged(members.withColumn("root", F.coalesce("root", "node")), "near-members")
+    parts = members.groupBy("region", "root").agg(F.count("*").alias("n"))
+    sizes = staged(
+        parts.groupBy("region")
+        .agg(F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("all_n"), F.count("*").alias("parts"))
+        # Two classes are one pair, which has been tried.
+        .where("parts > 1 AND all_n > 2")
+        .select("region", F.col("largest.root").alias("main"), F.col("largest.n").alias("main_n"), (F.col("all_n") - F.col("largest.n")).alias("rest_n")),
+        "near-regions",
+    )
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / block)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
+    own = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    placed = members.join(sizes, "region").withColumn("is_main", F.col("root") == F.col("main"))
+    placed = placed.withColumn("own", F.when(F.col("is_main"), own("main_n")).otherwise(own("rest_n")))
+    entry = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+    here = F.col("own")
+    against_main = F.transform(every("main_n"), lambda y: entry("main", here, y, F.lit(0)))
+    from_main = F.transform(every("rest_n"), lambda x: entry("main", x, here, F.lit(1)))
+    among = F.transform(
+        every("rest_n"),
+        lambda x: entry("rest", F.least(here, x), F.greatest(here, x), F.when(x == here, 2).when(here < x, 0).otherwise(1)),
+    )
+    met = F.when(F.col("is_main"), from_main).otherwise(F.concat(against_main, among))
+    dealt = placed.select("region", "node", "root", F.explode(met).alias("at")).select("region", "at.*", "node", "root")
+    filled = dealt.join(sets.select(F.col("digest").alias("node"), "shingles"), "node")
+    return filled.groupBy("region", "kind", "i", "j").applyInArrow(_compared(percent), "a binary, b binary")
+
+
 def near_texts(
     docs: DataFrame,
     shingle_words: int = SHINGLE_WORDS,
@@ -280,30 +392,24 @@ def near_texts(
         .select("digest", "signature", "some.doc_id", "some.text_hash"),
         "shingle-classes",
     )
-    pairs = candidates(classes)
+    pairs = staged(likely(candidates(classes), classes, percent / 100 - MARGIN), "near-likely")
     met = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    wanted = staged(met.join(classes, "digest").select("digest", F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")), "shingle-wanted")
+    wanted = staged(
+        met.join(classes, "digest").select(
+            "digest", F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")
+        ),
+        "near-wanted",
+    )
     texts = read.join(wanted, (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
     sets = staged(
-        texts.select("digest", "text")
-        .mapInArrow(_full_sets(shingle_words), "digest binary, shingles array<bigint>")
-        .dropDuplicates(["digest"]),
-        "shingle-sets",
+        # One text of each class: a task sends each of its classes once, however many copies it has.
+        texts.groupBy("digest").agg(F.first("text").alias("text"))
+        .mapInArrow(_full_sets(shingle_words), "digest binary, shingles array<bigint>"),
+        "near-sets",
     )
-    ends = pairs.select("a", "b", "depth").union(pairs.select("b", "a", "depth"))
-    best = ends.groupBy("a").agg(F.max(F.struct("depth", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = staged(confirmed(first, sets, percent), "near-first")
+    edges = staged(confirmed(foremost(pairs), sets, percent), "near-found")
     root = staged(components(edges), "near-roots")
-    where = root.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    other = root.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    rest = staged(
-        pairs.join(where, "a", "left").join(other, "b", "left")
-        .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-        .join(first, ["a", "b"], "left_anti"),
-        "near-rest",
-    )
-    more = staged(confirmed(rest, sets, percent), "near-more")
+    more = staged(compared_regions(pairs, root, sets, percent), "near-regions-found")
     if not more.isEmpty():
         root = staged(components(edges.union(more)), "near-roots")
     named = classes.join(root, F.col("digest") == F.col("node"), "left").select(
