@@ -135,16 +135,29 @@ def test_nothing_staged_is_left(spark, landing, warehouse):
     assert not left.exists() or not list(left.iterdir())
 
 
-def test_shared_folder_must_be_named(spark):
-    from toitscope import shared_folder
+class BareSession:
+    """A session of a cluster that names no shared folder."""
+
+    def __init__(self):
+        self.settings = {"spark.sql.warehouse.dir": "hdfs://tables/"}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+
+def test_shared_folder_must_be_named():
+    from toitscope import name_shared_folder, shared_folder
 
-    named = spark.conf.get("spark.checkpoint.dir")
-    try:
-        spark.conf.set("spark.checkpoint.dir", "")
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            shared_folder(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", named)
+    session = BareSession()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+    assert name_shared_folder(session) == shared_folder(session) == "hdfs://tables/shared"
+    session.settings["spark.checkpoint.dir"] = "hdfs://steps"
+    assert name_shared_folder(session) == shared_folder(session) == "hdfs://steps"
 
 
 def test_failed_load_leaves_no_rejects(spark, landing, warehouse):

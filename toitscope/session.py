@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+OWN_FOLDER = "spark.toitscope.shared.dir"
+
 
 def build_session(
     app: str = "toitscope", master: str | None = None, settings: dict[str, str] | None = None
@@ -28,16 +30,19 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``; an error when the setting is absent."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``, or else by ``name_shared_folder``.
+
+    An error when neither names one.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_FOLDER, None)
     if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     return named.rstrip("/")
 
 
 def name_shared_folder(spark: SparkSession) -> str:
-    """For callers without a cluster setting: names a folder beside the tables of the session's warehouse."""
+    """For callers whose session sets none (Spark takes that setting at its start only): a folder in its warehouse."""
     if not spark.conf.get("spark.checkpoint.dir", None):
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        spark.conf.set("spark.checkpoint.dir", f"{warehouse}/shared")
+        spark.conf.set(OWN_FOLDER, f"{warehouse}/shared")
     return shared_folder(spark)
