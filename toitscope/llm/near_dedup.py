@@ -400,7 +400,8 @@ def near_texts(
         ),
         "near-wanted",
     )
-    texts = read.join(wanted, (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+    # Merged at every size: texts move once, in proportion to the corpus, and a hot row is split.
+    texts = read.join(wanted.hint("merge"), (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
     sets = staged(
         # One text of each class: a task sends each of its classes once, however many copies it has.
         texts.groupBy("digest").agg(F.first("text").alias("text"))
@@ -450,7 +451,7 @@ def keep_one(
     row = [F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_hash")]
     gone = staged(judged.where("not is_it").select(*row), "near-gone")
     at_row = (F.xxhash64(text_of(text_column)) == F.col("near_hash")) & F.col(id_column).eqNullSafe(F.col("near_id"))
-    kept = docs.join(gone, at_row, "left_anti")
+    kept = docs.join(gone.hint("merge"), at_row, "left_anti")
     repeated = staged(judged.where("is_it and n > 1").select(*row), "near-repeated")
     if repeated.isEmpty():
         return kept
