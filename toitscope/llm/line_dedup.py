@@ -176,7 +176,8 @@ def drop_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
         F.col("doc_id").alias("_lines_id"), F.col("text_hash").alias("_lines_hash"), F.col("spans").alias("_lines_spans")
     )
     at_row = (F.xxhash64(text_of(text_column)) == F.col("_lines_hash")) & F.col(id_column).eqNullSafe(F.col("_lines_id"))
-    joined = docs.join(gone, at_row, "left").withColumn(text_column, _without(F.col(text_column), F.col("_lines_spans")))
+    # Merged at every size: texts move once, in proportion to the corpus, and a hot row is split.
+    joined = docs.join(gone.hint("merge"), at_row, "left").withColumn(text_column, _without(F.col(text_column), F.col("_lines_spans")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         counted = F.when(F.col("_lines_spans").isNull(), F.col("n_chars")).otherwise(F.length(text_column).cast(kind))
