@@ -7,6 +7,8 @@ rows one level at a time.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from toitscope.llm import boosting, labelled
 from toitscope.llm.shared import small_batches, text_of
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 THRESHOLD = 0.3
 
 #: Groups of ASCII bytes whose share of a text is a statistic.
@@ -36,12 +38,13 @@ GROUPS = [
 _MEMBER = np.zeros((256, len(GROUPS)))
 for _i, _group in enumerate(GROUPS):
     _MEMBER[list(_group), _i] = 1.0
-STATISTICS = len(GROUPS) + 15
+STATISTICS = len(GROUPS) + 14
 
 
 def statistics(text: str) -> list[float]:
     """Numbers that describe one text; all are finite, also for an empty one."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    data = text.encode("utf-8", "surrogatepass")
+    raw = np.frombuffer(data, np.uint8)
     size = max(1, len(raw))
     shares = (np.bincount(raw, minlength=256) @ _MEMBER) / size
     words = text.split()
@@ -50,9 +53,7 @@ def statistics(text: str) -> list[float]:
     lines = text.split("\n")
     filled = [line for line in lines if line.strip()]
     count = max(1, len(filled))
-    pairs = set(zip(words, words[1:]))
     lengths = np.fromiter(map(len, kinds), np.int64, len(kinds)) if kinds else np.zeros(1, np.int64)
-    joined = "".join(kinds)
     return [
         *shares.tolist(),
         float(np.count_nonzero(raw >= 128)) / size,
@@ -63,13 +64,12 @@ def statistics(text: str) -> list[float]:
         float(lengths.max()),
         len(kinds) / n,
         len(kinds) / float(np.sqrt(n)),
-        (len(pairs) + 1) / n,
+        len(zlib.compress(data, 1)) / size,
         float(np.log1p(len(lines))),
         n / count,
         len(set(filled)) / count,
         sum(line.rstrip()[-1] in ".!?\"'" for line in filled) / count,
-        sum(c.isalpha() for c in joined) / max(1, len(joined)),
-        sum(word.isupper() for word in kinds) / max(1, len(kinds)),
+        sum(map(str.isupper, kinds)) / max(1, len(kinds)),
     ]
 
 
