@@ -130,11 +130,12 @@ def scan(
         for term, w in ws.items()
     ]
     template = spark.createDataFrame(named, "template int, license string, term string, weight double, norm double")
-    found = rows.select("row", F.explode("segments").alias("segment"))
+    # A segment may be a whole long text: its terms carry its digest, and so does all that follows.
+    found = rows.select("row", F.explode("segments").alias("text")).withColumn("segment", F.md5("text"))
     counted = (
-        found.select("segment")
-        .distinct()
-        .select("segment", F.explode(F.split("segment", " ")).alias("term"))
+        found.groupBy("segment")
+        .agg(F.first("text").alias("text"))
+        .select("segment", F.explode(F.split("text", " ")).alias("term"))
         .groupBy("segment", "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -160,7 +161,7 @@ def scan(
         .agg(F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("best")),
         "licence-lines",
     )
-    best = found.join(best_line, "segment").groupBy("row").agg(F.min("best").alias("best"))
+    best = found.select("row", "segment").join(best_line, "segment").groupBy("row").agg(F.min("best").alias("best"))
     directory = F.regexp_replace("path", "/?[^/]*$", "")
     own = staged(
         rows.join(best, "row", "left").select(
