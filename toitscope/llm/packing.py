@@ -28,7 +28,7 @@ CAPACITY = 2048
 BUCKET_PIECES = 20_000
 END_OF_TEXT = 0
 #: The search looks at this many (emptiest sequence, other sequence) pairs for each piece of a bucket at most.
-EFFORT = 60
+EFFORT = 20
 
 
 def pieces(
@@ -136,41 +136,36 @@ def exchange(giver: list[int], taker: list[int], room: int) -> tuple[int, list[i
 
 def improve(sizes: list[list[int]], capacity: int, effort: int) -> list[list[int]]:
     """Empty sequences (lists of sizes) by exchanges while the tokens could do with fewer."""
-    bins = [sorted(b) for b in sizes]
-    fill = [sum(b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    full = [b for b, f in zip(bins, fill) if f == capacity]
-    open_ = sorted(((f, b) for b, f in zip(bins, fill) if f < capacity), key=lambda x: x[0])
-    stuck: list[list[int]] = []
-    while open_ and len(full) + len(open_) + len(stuck) > least and effort > 0:
-        filled, giver = open_.pop(0)
-        moved = True
-        while moved and filled:
-            moved = False
-            for k in range(len(open_) - 1, -1, -1):
-                other, taker = open_[k]
-                effort -= 1
-                gain, give, take = exchange(giver, taker, capacity - other)
-                if gain and other + gain > filled:
-                    for x in give:
-                        giver.remove(x)
-                        insort(taker, x)
-                    for x in take:
-                        taker.remove(x)
-                        insort(giver, x)
-                    filled -= gain
-                    moved = True
-                    if other + gain == capacity:
-                        full.append(taker)
-                        del open_[k]
-                    else:
-                        open_[k] = (other + gain, taker)
-                if not filled or effort <= 0:
-                    break
-        if filled:
-            stuck.append(giver)
-        open_.sort(key=lambda x: x[0])
-    return full + [b for _, b in open_] + stuck
+    least = -(-sum(map(sum, sizes)) // capacity)
+    bins = [[sum(b), sorted(b)] for b in sizes]
+    number, moved = len(bins), True
+    while moved and number > least and effort > 0:
+        moved = False
+        open_ = sorted([b for b in bins if 0 < b[0] < capacity], key=lambda b: b[0])
+        for giver in open_:
+            moving = 0 < giver[0] < capacity
+            while moving and giver[0]:
+                moving = False
+                for taker in reversed(open_):
+                    if taker is giver or not 0 < taker[0] < capacity:
+                        continue
+                    effort -= 1
+                    gain, give, take = exchange(giver[1], taker[1], capacity - taker[0])
+                    if gain and taker[0] + gain > giver[0]:
+                        for source, target, items in ((giver[1], taker[1], give), (taker[1], giver[1], take)):
+                            for x in items:
+                                source.remove(x)
+                                insort(target, x)
+                        giver[0] -= gain
+                        taker[0] += gain
+                        moving = moved = True
+                    if not giver[0] or effort <= 0:
+                        break
+                moving = moving and effort > 0
+            number -= not giver[0]
+            if number <= least or effort <= 0:
+                break
+    return [content for fill, content in bins if fill]
 
 
 def pack_sizes(sizes: np.ndarray, capacity: int, effort: int = EFFORT) -> tuple[np.ndarray, np.ndarray]:
