@@ -6,7 +6,7 @@ pair, its left and its right neighbour), and their paths to the root are compute
 are merged many at a time: row ``i`` of one array is the tree of match ``i`` and each numpy step merges one pair in
 every unfinished row. Longer matches have a tree of their own.
 
-Words repeat, so a task keeps the ids of the words it has met, up to a bound, and looks for the pattern only in new
+Words repeat, so a worker keeps the ids of the words it has met, up to a bound, and looks for the pattern only in new
 ones. The text is first cut before each single space: a match of the pattern never reaches across such a space
 unless white space follows it, and texts where it does take the pattern as a whole.
 """
@@ -64,6 +64,7 @@ class Merges:
 
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
+        self.encoders: dict[str, Encoder] = {}
         ids = {token: i for i, token in enumerate(tokens)}
         pairs = {}
         for token, i in ids.items():
@@ -86,6 +87,12 @@ class Merges:
             self.keys[slot[first]], self.ranks[slot[first]] = key[first], rank[first]
             key, rank, slot = key[~first], rank[~first], (slot[~first] + 1) & (len(self.keys) - 1)
 
+    def encoder(self, pattern: str) -> Encoder:
+        """The encoder of this process: a broadcast table stays in a worker from task to task, and so do its words."""
+        if pattern not in self.encoders:
+            self.encoders[pattern] = Encoder(self, pattern)
+        return self.encoders[pattern]
+
     def slots(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -276,7 +283,7 @@ def shared_merges(spark: SparkSession, ranks_path: str):
 
 
 def _ids_column(batches: Iterator[pa.RecordBatch], merges, pattern: str) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(merges.value, pattern)
+    encoder = merges.value.encoder(pattern)
     for batch in batches:
         ids = encoder.encode(batch.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])

@@ -59,7 +59,7 @@ def pieces(
     ] + [T.StructField("ids", T.BinaryType())] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.Encoder(merges.value, pattern)
+        encoder = merges.value.encoder(pattern)
         for batch in batches:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
