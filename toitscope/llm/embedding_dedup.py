@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,16 @@ BLOCK = 2048
 SLACK = 1e-9
 
 
-def unit_rows(vectors: list) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of one length as rows, and the same scaled to length one."""
-    x = np.array(vectors, float)
-    return x, x / np.linalg.norm(x, axis=1, keepdims=True)
+def rows_of(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows, each scaled by a power of two so that no square is out of range."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    x = np.asarray(vectors.flatten()).reshape(len(vectors), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _square(x: np.ndarray) -> np.ndarray:
@@ -55,11 +62,10 @@ def assign(pivots: np.ndarray, reach: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            _, unit = unit_rows(batch.column(2).to_pylist())
-            square = _square(2 - 2 * unit @ pivots.T)
+            square = _square(2 - 2 * unit(rows_of(batch.column(2))) @ pivots.T)
             distance = np.sqrt(square)
             own = distance.argmin(axis=1)
-            row = np.arange(len(unit))
+            row = np.arange(len(own))
             near = distance <= distance[row, own][:, None] + 2 * reach + SLACK
             between = apart[own]
             plane = (square - square[row, own][:, None]) <= 2 * between * (reach + SLACK)
@@ -86,18 +92,14 @@ def linked_blocks(threshold: float):
     """A task that joins one block of a cell's members with one block of all that the cell holds."""
 
     def join(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_pylist()
-        members = table.filter(pa.array([s == 0 for s in side]))
-        others = table.filter(pa.array([s == 1 for s in side]))
+        members, others = (table.filter(pc.equal(table.column("side"), k)) for k in (0, 1))
         links: list = []
         counts: list = []
         edges: list = []
         if members.num_rows and others.num_rows:
-            mine = np.array(members.column("node").to_pylist())
-            theirs = np.array(others.column("node").to_pylist())
+            mine, theirs = members.column("node").to_numpy(), others.column("node").to_numpy()
             weight = others.column("n").to_numpy()
-            x, _ = unit_rows(members.column("vector").to_pylist())
-            y, _ = unit_rows(others.column("vector").to_pylist())
+            x, y = rows_of(members.column("vector")), rows_of(others.column("vector"))
             x_long, y_long = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
             for a in range(0, len(x), 256):
                 cosine = (x[a : a + 256] @ y.T) / (x_long[a : a + 256, None] * y_long)
@@ -214,8 +216,8 @@ def _links(classes: DataFrame, threshold: float, cell: int, most_pivots: int, bl
         largest = some.groupBy("label").count().agg(F.max("count")).first()[0]
         wanted = min(most_pivots, -(-largest // cell))
         drawn = some.orderBy(F.xxhash64("vector"), "node").limit(wanted).select("vector").collect()
-        _, pivots = unit_rows([row["vector"] for row in drawn])
-        dealt = staged(some.mapInArrow(assign(pivots, reach), kind), "vector-cells")
+        pivots = rows_of(pa.array([row["vector"] for row in drawn], pa.list_(pa.float64())))
+        dealt = staged(some.mapInArrow(assign(unit(pivots), reach), kind), "vector-cells")
         far = dealt.where("own").groupBy("label", "cell").agg(F.max("away").alias("radius"), F.count("*").alias("own_n"))
         held = dealt.groupBy("label", "cell").agg(F.count("*").alias("all_n"))
         sizes = staged(far.join(held, ["label", "cell"]), "vector-cell-sizes")
