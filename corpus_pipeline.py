@@ -27,7 +27,7 @@ def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that stand earlier in the corpus."""
-    return line_dedup.drop_repeated_lines(docs)
+    return line_dedup.drop_repeated_lines(docs, whole=True)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -254,6 +254,54 @@ def test_repeated_passages_go_and_the_rest_stays(spark):
     assert kept < 0.4 * 29 * 12
 
 
+@pytest.mark.parametrize("n", range(1, 13))
+def test_all_of_a_repeated_passage_goes(spark, n):
+    passage = "\n".join(prose(800 + 20 * n + k, 60 if n == 1 else 6) for k in range(n))
+    text = lambda k: f"{prose(k, 9)}\n{prose(k + 50, 11)}\n{passage}\n{prose(k + 90, 8)}"
+    rest = lambda k: f"{prose(k, 9)}\n{prose(k + 50, 11)}\n{prose(k + 90, 8)}"
+    out = line_dedup.drop_repeated_lines(frame(spark, [(k, text(k)) for k in range(5)]), whole=True)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: text(0)} | {k: rest(k) for k in range(1, 5)}
+
+
+def whole_passages_by_hand(rows):
+    """Every span of lines against every other one."""
+    seen, gone = defaultdict(list), defaultdict(set)
+    for i, text in rows:
+        lines = text.split("\n")
+        words = [len(x.split()) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                n, full = sum(words[a : b + 1]), sum(map(bool, words[a : b + 1]))
+                ended = words[a] and words[b] and full > 1 and n > 9
+                if ended or (a == b and n > 50) or (b == a + 1 and full == 1 and 9 < n < 51):
+                    seen["\n".join(lines[a : b + 1])].append((i, a, b))
+    for places in seen.values():
+        for i, a, b in places:
+            if any(x < i or (x == i and d < a) for x, _, d in places):
+                gone[i].update(range(a, b + 1))
+    return {i: "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[i]) for i, text in rows}
+
+
+def test_whole_passages_equal_brute_force(spark):
+    source = random.Random(8)
+    pool = ["", "", "", " "] + [prose(k, n) for k, n in enumerate([1, 1, 2, 3, 4, 5, 6, 9, 11, 12, 55] * 2)]
+    rows = [(i, "\n".join(source.choices(pool, k=source.randint(1, 14)))) for i in range(120)]
+    out = line_dedup.drop_repeated_lines(frame(spark, rows).repartition(4), whole=True).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == whole_passages_by_hand(rows)
+
+
+def test_whole_passages_of_odd_rows(spark, empty):
+    assert line_dedup.drop_repeated_lines(empty, whole=True).count() == 0
+    rows = [r for r in MESSY if r[0] not in (6, 7)]
+    out = line_dedup.drop_repeated_lines(frame(spark, rows), whole=True).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == sorted(rows, key=str)
+
+
+def test_many_blank_lines_make_few_windows():
+    text = (prose(1, 12) + "\n" * 50_000 + prose(2, 3) + "\n" + prose(3, 12)).encode()
+    assert sum(b - a for _, a, b in line_dedup.passage_windows(text, 2, 10, 51)) < 10 * len(text)
+
+
 def test_chunks_do_not_shift():
     lines = [prose(k, 12) for k in range(200)]
     before = {c[0] for c in line_dedup.line_chunks("\n".join(lines).encode(), 2, 2, 2, 10)}

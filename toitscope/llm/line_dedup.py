@@ -1,18 +1,22 @@
-"""Repeated passages: content-defined chunks of lines, removed where the same bytes stand earlier in the corpus.
+"""Repeated passages of lines, removed where the same bytes stand earlier in the corpus.
 
-A rolling hash over the hashes of a text's lines says where a chunk ends, so the same passage is cut alike wherever
-it stands, and lines put in or taken out shift boundaries only nearby. Chunks of several lines whose hash occurs more
+There are two ways to look for them. Chunks: a rolling hash over the hashes of a text's lines says where a chunk ends,
+so the same passage is cut alike wherever it stands, but its lines before the first and after the last common boundary
+stay. Whole passages: from each line that has words the shortest window of lines, forwards and backwards, that is long
+enough to count. A passage that is long enough holds such a window from its first line and one up to each line after
+the end of that, so these windows cover all of it, whatever stands around it. Chunks or windows whose hash occurs more
 than once in the corpus are compared by their bytes; the first occurrence stays.
 
-Texts are chunked twice rather than stored: the first pass sends one hash per chunk; a bitmap of fixed size, built
-from the repeated hashes alone, then tells the second pass which chunks to send whole. A bit set by another hash
-costs a chunk sent for nothing, never a result. What is removed goes back to its text as spans, one join of the
-corpus with the rows that lose lines.
+Texts are cut twice rather than stored: the first pass sends one hash per chunk; a bitmap, built from the repeated
+hashes alone, then tells the second pass which chunks to send whole. A bit set by another hash costs a chunk sent for
+nothing, never a result. What is removed goes back to its text as spans, one join of the corpus with the rows that
+lose lines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -28,7 +32,11 @@ WINDOW = 2
 DIVISOR = 2
 LEAST_LINES = 2
 LEAST_WORDS = 10
+#: A line of so many words is a passage by itself.
+LEAST_LINE_WORDS = 51
 BITMAP_BITS = 25
+#: The bitmap grows with the repeated hashes up to 2^29 bits, 64 MB.
+MOST_BITMAP_BITS = 29
 
 _MASK = (1 << 64) - 1
 _TIMES = 0x9E3779B97F4A7C15
@@ -61,16 +69,50 @@ def line_chunks(text: bytes, window: int, divisor: int, least_lines: int, least_
     return out
 
 
+def passage_windows(text: bytes, least_lines: int, least_words: int, least_line_words: int) -> list[tuple[int, int, int]]:
+    """Hash, start and end of the windows of lines that cover every passage which may be removed.
+
+    A passage begins and ends with a line that has words and has ``least_lines`` such lines and ``least_words``, or is
+    a line of ``least_line_words``, or one of ``least_words`` and a blank line beside it where two lines are enough. A
+    blank line belongs to the windows of fewer than ``least_words`` lines around it, so long runs of them add little.
+    """
+    lines = text.split(b"\n")
+    words = [len(line.split()) for line in lines]
+    starts = [0, *accumulate(len(line) + 1 for line in lines)]
+    full = [i for i, n in enumerate(words) if n]
+    found = set()
+    for backwards in (True, False):
+        first = total = 0
+        order = full if backwards else full[::-1]
+        for at, line in enumerate(order):
+            total += words[line]
+            while at - first >= least_lines and total - words[order[first]] >= least_words:
+                total -= words[order[first]]
+                first += 1
+            if total >= least_words and at - first + 1 >= least_lines:
+                found.add((order[first], line) if backwards else (line, order[first]))
+    for i in full:
+        if words[i] >= least_line_words:
+            found.add((i, i))
+        elif words[i] >= least_words and least_lines <= 2:
+            if i and not words[i - 1]:
+                found.add((i - 1, i))
+            if i + 1 < len(lines) and not words[i + 1]:
+                found.add((i, i + 1))
+    spans = [(starts[i], starts[j + 1] - 1) for i, j in found]
+    return [(xxhash.xxh64_intdigest(text[a:b], seed=1) - (1 << 63), a, b) for a, b in spans]
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without some of its chunks and the line break after each."""
+    """The text without some of its chunks and the line break after each; chunks may overlap."""
     data = text.encode("utf-8", "surrogatepass")
     kept, at = [], 0
     for start, end in sorted(spans):
         kept.append(data[at:start])
-        at = min(len(data), end + 1)
+        at = max(at, min(len(data), end + 1))
     kept.append(data[at:])
     out = b"".join(kept)
-    if at >= len(data) and len(spans) and out.endswith(b"\n"):
+    if any(end >= len(data) for _, end in spans) and out.endswith(b"\n"):
         out = out[:-1]
     return out.decode("utf-8", "surrogatepass")
 
@@ -84,12 +126,11 @@ def _bitmap(repeated: DataFrame, bits: int) -> np.ndarray:
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
         .collect()
     )
-    out = np.zeros(1 << bits, bool)
+    out = np.zeros(1 << (bits - 3), np.uint8)
     for row in pieces:
-        found = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
-        at = row["piece"] << 15
-        out[at : at + (1 << 15)] = found[: min(1 << 15, len(out) - at)]
-    return np.packbits(out)
+        at = row["piece"] << 12
+        out[at : at + (1 << 12)] = np.frombuffer(row["bits"], np.uint8)
+    return out
 
 
 def removals(
@@ -100,22 +141,33 @@ def removals(
     least_words: int = LEAST_WORDS,
     id_column: str = "doc_id",
     text_column: str = "text",
+    whole: bool = False,
+    least_line_words: int = LEAST_LINE_WORDS,
 ) -> DataFrame:
-    """Rows that lose lines: ``doc_id, text_hash, spans`` (byte positions ``start, end`` of the chunks to remove)."""
+    """Rows that lose lines: ``doc_id, text_hash, spans`` (byte positions ``start, end`` of the chunks to remove).
+
+    With ``whole`` all of each repeated passage goes, otherwise the repeated chunks in it. Spans of one row may
+    overlap. Bytes that overlap their own first occurrence are no copy of it.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     read = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text")).withColumn(
         "text_hash", F.xxhash64("text")
     )
-    how = (window, divisor, least_lines, least_words)
+    cut = passage_windows if whole else line_chunks
+    how = (least_lines, least_words, least_line_words) if whole else (window, divisor, least_lines, least_words)
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [c[0] for t in batch.column(0).to_pylist() for c in line_chunks(t.encode("utf-8", "surrogatepass"), *how)]
+            found = [c[0] for t in batch.column(0).to_pylist() for c in cut(t.encode("utf-8", "surrogatepass"), *how)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["hash"])
 
-    repeated = read.select("text").mapInArrow(hashes, "hash bigint").groupBy("hash").count().where("count > 1").select("hash")
-    bits = spark.sparkContext.broadcast(_bitmap(repeated, BITMAP_BITS))
+    repeated = staged(
+        read.select("text").mapInArrow(hashes, "hash bigint").groupBy("hash").count().where("count > 1").select("hash"),
+        "chunk-hashes",
+    )
+    size = min(MOST_BITMAP_BITS, max(BITMAP_BITS, (16 * repeated.count()).bit_length()))
+    bits = spark.sparkContext.broadcast(_bitmap(repeated, size))
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = bits.value
@@ -123,9 +175,9 @@ def removals(
             row, found, texts = [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
-                for chunk in line_chunks(data, *how):
-                    slot = (chunk[0] & _MASK) >> (64 - BITMAP_BITS)
-                    if bitmap[slot >> 3] >> (7 - (slot & 7)) & 1:
+                for chunk in cut(data, *how):
+                    slot = (chunk[0] & _MASK) >> (64 - size)
+                    if bitmap[slot >> 3] >> (slot & 7) & 1:
                         row.append(i)
                         found.append(chunk)
                         texts.append(data[chunk[1] : chunk[2]])
@@ -148,7 +200,9 @@ def removals(
         sent.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "chunk-firsts",
     )
-    later = sent.join(firsts, ["hash", "chunk"]).where(~place.eqNullSafe(F.col("first")))
+    same_text = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    overlaps = F.col("start") <= F.col("first.start") + F.col("end") - F.col("start")
+    later = sent.join(firsts, ["hash", "chunk"]).where(~(same_text & overlaps))
     return staged(
         later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "chunk-removals"
     )
@@ -168,6 +222,8 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
 def drop_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
     """``docs`` with every repeated chunk of lines removed but for its first occurrence; all rows and columns stay.
 
+    With ``whole`` every repeated passage goes from its first line to its last, also one that holds no chunk. A line
+    that goes stands still at an earlier place: where passages overlap, the shared lines may stand in another one.
     First is the least id, a null one last, then the least position. Rows that agree in id and text are one place:
     all of them keep a chunk or none. Null and empty texts stay as they are. ``n_chars``, where there is one, is
     counted anew for texts that changed. An empty table gives an empty one.

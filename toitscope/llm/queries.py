@@ -47,7 +47,7 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's text without the passages that stand earlier in the corpus."""
     docs = parquet_table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
-    cleaned = line_dedup.drop_repeated_lines(docs)
+    cleaned = line_dedup.drop_repeated_lines(docs, whole=True)
     size = lambda name: F.octet_length(F.coalesce(name, F.lit(""))).cast("bigint")
     return cleaned.select("doc_id", "text", (size("before") - size("text")).alias("bytes_removed"))
 
