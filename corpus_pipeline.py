@@ -37,7 +37,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences of at most 2048 tokens."""
-    parts = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    parts = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, find_added=True)
     return packing.pack(parts)
 
 

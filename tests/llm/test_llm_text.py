@@ -14,7 +14,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from toitscope.llm import bpe, exact_dedup, line_dedup, near_dedup, packing
+import corpus_pipeline
+from toitscope.llm import bpe, exact_dedup, line_dedup, near_dedup, packing, queries
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -357,6 +358,25 @@ def test_packing_is_whole_and_gapless(spark, capacity):
     assert len(sequences) <= least + 4
 
 
+def test_pieces_hold_added_tokens_as_the_library_finds_them(spark):
+    mark = "<|endoftext|>"
+    texts = [t for _, t in MESSY] + ["a <|endoftext|> b", mark, mark * 2 + " x", f"it{mark}  \n b ", f"x{mark[:-1]}", f"{prose(1, 30)}{mark}'s {mark}"]
+    rows = list(enumerate(texts))
+    out = packing.pieces(frame(spark, rows).repartition(2), JSON, PATTERN, capacity=1 << 20, with_ids=True, find_added=True).collect()
+    tokenizer = Tokenizer.from_file(JSON)
+    want = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in rows}
+    assert sum(50256 in ids for ids in want.values()) == 6
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in out} == want
+
+
+def test_packing_queries_find_added_tokens(spark, tmp_path):
+    spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    crc = zlib.crc32(np.array([64, 220, 50256, 275, 0], "<u4").tobytes())
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (queries.op3_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
+        assert [(r["length"], r["ids_crc32"]) for r in out.collect()] == [(5, crc)]
+
+
 def test_search_empties_sequences_that_best_fit_cannot():
     # Best fit of the longest first needs four sequences here; three hold everything.
     sizes = np.array([5, 4, 4, 3, 2, 2, 5, 5])

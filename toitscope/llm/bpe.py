@@ -59,6 +59,16 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
+def read_added(path: str) -> dict[str, int]:
+    """Ids of the added tokens of a tokenizer's JSON file, which its library finds in a text before it merges."""
+    with open(path, "rb") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if any(token.get(rule) for rule in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path} has a rule for {token['content']} that is not known here")
+    return {token["content"]: token["id"] for token in added}
+
+
 class Merges:
     """Pairs of tokens that merge, and the id each pair becomes (its rank), in an open-addressing hash table."""
 
@@ -162,6 +172,17 @@ class Encoder:
             bare.clear()
         return out
 
+    def encode_around(self, texts: list[str], added: dict[str, int]) -> list[bytes]:
+        """Ids of texts in which ``added`` tokens stand for themselves and the parts between them are texts of their own."""
+        if not any(token in text for token in added for text in texts):
+            return self.encode(texts)
+        # Of tokens that begin at one place the longest is meant.
+        cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split
+        parts = [cut(text) for text in texts]
+        between = iter(self.encode([part for some in parts for part in some[::2]]))
+        ids = {token: np.array([i], "<u4").tobytes() for token, i in added.items()}
+        return [b"".join(ids[part] if k % 2 else next(between) for k, part in enumerate(some)) for some in parts]
+
     def merge(self, data: list[bytes]) -> list[bytes]:
         """Ids of each match."""
         size = np.fromiter(map(len, data), np.int64, len(data))

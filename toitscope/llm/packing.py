@@ -40,15 +40,18 @@ def pieces(
     id_column: str = "doc_id",
     text_column: str = "text",
     with_ids: bool = False,
+    find_added: bool = False,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: ``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids``.
 
     A document is its tokens and ``end_id``, so a null or empty text is one token. Only longer ones are cut: the
-    first piece takes what is left over, all others are full.
+    first piece takes what is left over, all others are full. With ``find_added`` the added tokens of the tokenizer's
+    JSON file, such as ``<|endoftext|>``, have their own ids where they stand in a text; otherwise they are plain text.
     """
     spark = docs.sparkSession
     small_batches(spark)
     merges = bpe.shared_merges(spark, tokenizer_path)
+    added = bpe.read_added(tokenizer_path) if find_added else {}
     end = np.array([end_id], "<u4").tobytes()
     fields = [
         T.StructField("doc_id", docs.schema[id_column].dataType),
@@ -62,7 +65,7 @@ def pieces(
         encoder = merges.value.encoder(pattern)
         for batch in batches:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
+            for i, ids in enumerate(encoder.encode_around(batch.column(1).to_pylist(), added)):
                 ids += end
                 n = len(ids) // 4
                 first = n % capacity or capacity

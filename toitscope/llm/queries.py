@@ -56,7 +56,7 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's tokens in sequences of at most 2048."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    parts = packing.pieces(parquet_table(spark, folder, "documents"), tokenizer, public_tokenizers.PATTERN)
+    parts = packing.pieces(parquet_table(spark, folder, "documents"), tokenizer, public_tokenizers.PATTERN, find_added=True)
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
