@@ -6,8 +6,12 @@ import base64
 import hashlib
 import math
 import random
+import subprocess
+import sys
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -267,6 +271,36 @@ def test_archives_are_readable_from_end_to_end(spark):
     assert data.count(b"WARC/1.1\r\nWARC-Type: response") == 50
 
 
+WRITE_AND_END = """
+import sys
+from toitscope import build_session
+from toitscope.llm import warc
+shared, folder = sys.argv[1:]
+spark = build_session("ends", "local[2]", {"spark.checkpoint.dir": shared, "spark.ui.enabled": "false"})
+for start in (0, 50):
+    pages = spark.createDataFrame([(k, f"http://a/{k}", f"page {k}") for k in range(start, start + 50)], "page_id long, url string, html string")
+    warc.write_archives(pages, folder=folder)
+warc.write_archives(pages)
+spark.stop()
+"""
+
+
+def test_archives_of_a_named_folder_outlive_the_session(spark, tmp_path):
+    folder, shared = tmp_path / "kept", tmp_path / "shared"
+    folder.mkdir()
+    (folder / "other.txt").write_text("not an archive")
+    root = str(Path(corpus_pipeline.__file__).parent)
+    subprocess.run([sys.executable, "-c", WRITE_AND_END, str(shared), str(folder)], cwd=root, check=True, timeout=120)
+    left = lambda: [*shared.rglob("*.warc.zst"), *shared.rglob("*.parquet")]
+    until = time.time() + 20
+    while left() and time.time() < until:  # Java ends, and deletes, a little after Python
+        time.sleep(0.2)
+    assert not left()
+    assert (folder / "other.txt").read_text() == "not an archive"
+    got = warc.read_records(warc.read_index(spark, str(folder))).collect()
+    assert sorted((int(r["page_id"]), bytes(r["payload"]).decode()) for r in got) == [(k, f"page {k}") for k in range(100)]
+
+
 def test_pages_of_no_rows(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_records(warc.write_archives(pages)).count() == 0

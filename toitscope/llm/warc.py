@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,15 +153,21 @@ def write_archives(
 ) -> DataFrame:
     """Write a record for each row of ``pages``; the index ``page_id, file, frame, start, length``, already stored.
 
+    Archives in a named ``folder`` stay, with their index beside them (``read_index``), and so does all else in it;
+    without a name the archives and the index go when the driver's session ends.
     A null payload is empty. Of records with equal payloads of at least ``least_revisit_bytes`` bytes the one with
     the least id is the response, a null id after all others; rows that repeat its id are responses too. A null url
     has no header line. Other columns are not read. An empty table gives an empty index.
     """
     spark = pages.sparkSession
     small_batches(spark)
-    folder = folder or f"{shared_folder(spark)}/llm/archives-{uuid.uuid4().hex}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    named = folder is not None
+    if not named:
+        folder = f"{shared_folder(spark)}/llm/archives-{uuid.uuid4().hex}"
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(place)  # a folder that is not there yet cannot be marked
+        files.deleteOnExit(place)
     kind = pages.schema[id_column].dataType
     read = pages.select(
         F.col(id_column).alias("page_id"),
@@ -221,8 +227,21 @@ def write_archives(
         [T.StructField("page_id", kind), T.StructField("file", T.StringType())]
         + [T.StructField(x, T.LongType()) for x in ("frame", "start", "length")]
     )
-    stored = staged(records.mapInArrow(write, schema), "archive-index")
-    return stored.withColumn("file", F.concat(F.lit(f"{folder}/"), "file"))
+    written = records.mapInArrow(write, schema)
+    if not named:
+        return _placed(staged(written, "archive-index"), folder)
+    path = f"{folder}/index-{uuid.uuid4().hex}"
+    written.write.option("compression", "zstd").parquet(path)
+    return _placed(spark.read.schema(schema).parquet(path), folder)
+
+
+def _placed(index: DataFrame, folder: str) -> DataFrame:
+    return index.withColumn("file", F.concat(F.lit(f"{folder}/"), "file"))
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of all archives that were written to a named folder, wherever the folder lies now."""
+    return _placed(spark.read.parquet(f"{folder}/index-*"), folder)
 
 
 def read_records(index: DataFrame, read_bytes: int = READ_BYTES, with_payload: bool = True) -> DataFrame:
