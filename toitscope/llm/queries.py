@@ -16,13 +16,14 @@ from toitscope.llm import (
     near_dedup,
     packing,
     quality,
+    queries_corpus,
     toxicity,
     warc,
 )
 from toitscope.sources.tables import parquet_table
 
-REGISTRY = {}
-ORACLE = {}
+REGISTRY = dict(queries_corpus.REGISTRY)
+ORACLE = dict(queries_corpus.ORACLE)
 
 
 def registered(query):
