@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toitscope.llm import merkle, search
+from toitscope.llm import merkle, search, substring_dedup
 from toitscope.sources.tables import parquet_table
 
 REGISTRY = {}
@@ -17,6 +17,15 @@ def registered(query):
     return query
 
 
+@registered
+def op11_suffix_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages of 13 words that also start in a document of lesser id."""
+    found = substring_dedup.without_repeats(parquet_table(spark, folder, "documents"))
+    # Of an even number of edges, each minus what stands before: ends count, starts are taken off.
+    removed = F.aggregate(F.coalesce("spans", F.array().cast("array<int>")), F.lit(0).cast("bigint"), lambda n, edge: edge - n)
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @registered
 def op12_block_max_search(spark: SparkSession, folder: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
