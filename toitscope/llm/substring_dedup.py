@@ -40,8 +40,8 @@ from toitscope.llm.shared import small_batches, staged, text_of
 LEAST_WORDS = 13
 PREFIX_WORDS = 3
 #: Suffixes of a lot, and of a tree.
-LOT_SUFFIXES = 400_000
-TREE_SUFFIXES = 300_000
+LOT_SUFFIXES = 300_000
+TREE_SUFFIXES = 200_000
 #: One suffix in so many is looked at to learn which prefixes are frequent.
 SAMPLED = 64
 #: A null id comes after all others.
