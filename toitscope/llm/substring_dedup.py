@@ -137,11 +137,15 @@ def _opened(data: bytes) -> pa.RecordBatch:
 
 def _ordered_ids(ids: pa.Array) -> np.ndarray:
     """Ids as numbers or texts in their order."""
-    if pa.types.is_integer(ids.type) or pa.types.is_null(ids.type):
+    if pa.types.is_integer(ids.type):
         return ids.cast(pa.int64()).fill_null(LAST_INTEGER).to_numpy(zero_copy_only=False)
     return np.array([LAST_TEXT if x is None else str(x) for x in ids.to_pylist()], object)
 
 
+def _as_column(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids.tolist(), pa.string() if ids.dtype == object else pa.int64())
+
+
 def _steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=0).astype(np.int32)
 
@@ -149,8 +153,8 @@ def _steps(x: np.ndarray) -> np.ndarray:
 class _Lot:
     """Texts that are read together, and their suffixes: the same words once."""
 
-    def __init__(self, least: int, k: int):
-        self.least, self.k = least, k
+    def __init__(self, least: int, k: int, id_type: pa.DataType):
+        self.least, self.k, self.id_type = least, k, id_type
         self.ids, self.hashes, self.seen = [], [], {}
         self.anchor, self.prefix, self.leaves = [], [], []
         self.size = 0
@@ -183,7 +187,7 @@ class _Lot:
         if not leaves.shape[1]:
             return
         names = ("content", "doc", "first", "anchor", "more")
-        texts = _bundle(doc_id=pa.array(self.ids), text_hash=pa.array(self.hashes, pa.int64()))
+        texts = _bundle(doc_id=pa.array(self.ids, self.id_type), text_hash=pa.array(self.hashes, pa.int64()))
         yield _LEAF, number, number % trees, _bundle(**{n: pa.array(_steps(x)) for n, x in zip(names, leaves, strict=True)}), texts
         prefix, anchor = np.concatenate(self.prefix, axis=1), np.concatenate(self.anchor)
         key = prefix[self.k - 1].copy()
@@ -192,7 +196,7 @@ class _Lot:
             key[short] = prefix[q][short]
         tree = (_mixed(key) % np.uint64(trees)).astype(np.int64)
         # The least id that holds a content; texts come in any order.
-        ids = _ordered_ids(pa.array(self.ids))
+        ids = _ordered_ids(pa.array(self.ids, self.id_type))
         _, rank = np.unique(ids, return_inverse=True)
         order = np.lexsort((rank[leaves[1]], leaves[0]))
         _, first = np.unique(leaves[0][order], return_index=True)
@@ -205,7 +209,7 @@ class _Lot:
             yield _SUFFIX, number, int(tree[own[0]]), _bundle(
                 content=pa.array(_steps(own)),
                 anchor=pa.array(anchor[own].astype(np.uint8)),
-                least=pa.array(least[own].tolist()),
+                least=_as_column(least[own]),
                 words=pa.array([words[i] for i in own], pa.binary()),
             ), None
 
@@ -310,15 +314,16 @@ def repeats(
     spark = docs.sparkSession
     small_batches(spark)
     kind = docs.schema[id_column].dataType
+    id_type = to_arrow_type(kind)
     read = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_of(text_column)).alias("text_hash"), text_of(text_column).alias("text"))
 
     def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[_Lot]:
-        hasher, lot = Hasher(), _Lot(least, prefix_words)
+        hasher, lot = Hasher(), _Lot(least, prefix_words, id_type)
         for batch in batches:
             lot.add(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), hasher)
             if lot.size >= lot_suffixes:
                 yield lot
-                lot = _Lot(least, prefix_words)
+                lot = _Lot(least, prefix_words, id_type)
         if lot.ids:
             yield lot
 
@@ -372,7 +377,7 @@ def repeats(
             own = order[cuts[i] : cuts[i + 1]]
             if len(own):
                 answer = _bundle(
-                    content=pa.array(_steps(content[found[own]])), place=pa.array(place[own].astype(np.uint8)), least=pa.array(lower[own].tolist())
+                    content=pa.array(_steps(content[found[own]])), place=pa.array(place[own].astype(np.uint8)), least=_as_column(lower[own])
                 )
                 for name, value in zip(out, (_SUFFIX, row["lot"], row["tree"], answer, None), strict=True):
                     out[name].append(value)
@@ -382,7 +387,7 @@ def repeats(
     marks = T.StructType(
         [T.StructField("doc_id", kind), T.StructField("text_hash", T.LongType()), T.StructField("spans", T.ArrayType(T.IntegerType()))]
     )
-    marks_arrow = pa.schema([("doc_id", to_arrow_type(kind)), ("text_hash", pa.int64()), ("spans", pa.list_(pa.int32()))])
+    marks_arrow = pa.schema([("doc_id", id_type), ("text_hash", pa.int64()), ("spans", pa.list_(pa.int32()))])
 
     def marked(table: pa.Table) -> pa.Table:
         found = list(_spans(table, least, prefix_words))
