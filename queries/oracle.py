@@ -326,6 +326,8 @@ FROM lineitem"""
 
 KNOWN = "(SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)"
 ORACLE["streamed_transactions"] = ORACLE["stored_transactions"]
+ORACLE["streamed_redelivery"] = ORACLE["stored_transactions"]
+ORACLE["snapshot_load"] = ORACLE["stored_transactions"]
 ORACLE["stored_dpe"] = f"SELECT * FROM ({ORACLE['clean_dpe']}) WHERE commune_id IN {KNOWN}"
 ORACLE["stored_demographics"] = f"""SELECT * REPLACE (2001 AS annee) FROM ({ORACLE["merge_demographics"]})
 WHERE commune_id IN {KNOWN}"""

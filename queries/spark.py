@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from toitscope.functions.labels import building_type, property_type
 from toitscope.functions.measures import json_or_null, price_per_m2
 from toitscope.functions.text import field
 from toitscope.operators import cleaning, integrity, keyed, ledger, ranking, storage
+from toitscope.operators.commits import transaction
 from toitscope.plans import areas, energy, indicators, loading, prices, terms
 from toitscope.plans.views import EVENTS_FOLDER
 from toitscope.session import shared_folder
@@ -388,6 +390,38 @@ def streamed_transactions(t: Tables) -> DataFrame:
     return storage.read_table(t.spark, warehouse, "transactions").drop("created_at")
 
 
+@registered
+def streamed_redelivery(t: Tables) -> DataFrame:
+    """A part of the sales streamed first, then all of them from another folder, and the same files once more."""
+    root, landing_root, warehouse = fresh(t)
+    land_register(t, root)
+    loading.load_communes(t.spark, landing_root, warehouse)
+    sales = t.raw(raw.TRANSACTIONS, "lineitem")
+    for number, some in enumerate((sales.where(F.col("code_postal") < "00050"), sales, sales)):
+        some.write.options(**EXACT, sep="|").csv(f"{root}/drops/delivery-{number}")
+        ingest_transactions(t.spark, f"{root}/drops", warehouse, f"{root}/checkpoint", only_new=True)
+    return storage.read_table(t.spark, warehouse, "transactions").drop("created_at")
+
+
+@registered
+def snapshot_load(t: Tables) -> DataFrame:
+    """Two writers: while one rewrites the stored sales into fewer files, the other adds the rest of them."""
+    root, landing_root, warehouse = fresh(t)
+    land_register(t, root)
+    sales = t.raw(raw.TRANSACTIONS, "lineitem")
+    first = F.col("code_postal") < "00050"
+    for number, some in enumerate((sales.where(first), sales.where(~first))):
+        some.write.options(**EXACT, sep="|").csv(f"{root}/in-{number}/transactions/year={YEAR}/dept=all")
+    loading.load_communes(t.spark, landing_root, warehouse)
+    loading.load_transactions(t.spark, f"{root}/in-0", warehouse, [YEAR])
+    with transaction(t.spark, warehouse):
+        storage.replace(storage.read_table(t.spark, warehouse, "transactions").drop("year"), warehouse, "transactions")
+        other = InheritableThread(target=loading.load_transactions, args=(t.spark, f"{root}/in-1", warehouse, [YEAR]))
+        other.start()
+        other.join()
+    return storage.read_table(t.spark, warehouse, "transactions").drop("created_at")
+
+
 @registered
 def stored_dpe(t: Tables) -> DataFrame:
     root, landing_root, warehouse = fresh(t)

@@ -199,11 +199,11 @@ def test_lost_version_is_an_error(spark, landing, warehouse):
 
     from pyspark.errors import AnalysisException
 
-    from toitscope.operators.storage import current_version
+    from toitscope.operators.commits import latest
 
     assert read_table(spark, warehouse, "communes").count() == 0
     loading.load_communes(spark, landing, warehouse)
-    shutil.move(f"{warehouse}/communes/{current_version(spark, warehouse, 'communes')}", f"{warehouse}/elsewhere")
+    shutil.move(f"{warehouse}/communes/{latest(spark, warehouse).folders('communes')[0]}", f"{warehouse}/elsewhere")
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_table(spark, warehouse, "communes").count()
 

@@ -100,7 +100,12 @@ def not_yet_loaded(incoming: DataFrame, existing: DataFrame, columns: list[str],
         existing.select(*columns, F.lit(-1).alias("_sign"))
     )
     surplus = signed.groupBy(*columns).agg(F.sum("_sign").alias("_copies")).where(F.col("_copies") > 0)
+    return deal_copies(surplus, columns, chunk)
+
+
+def deal_copies(counted: DataFrame, columns: list[str], chunk: int = COPY_CHUNK) -> DataFrame:
+    """Each row as often as its ``_copies`` says; the copies of one row are dealt out and written by several tasks."""
     parts = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {chunk}"))
-    dealt = surplus.select(*columns, "_copies", F.explode(parts).alias("_part")).repartition(*columns, "_part")
+    dealt = counted.select(*columns, "_copies", F.explode(parts).alias("_part")).repartition(*columns, "_part")
     size = F.least(F.lit(chunk).cast("bigint"), F.col("_copies") - F.col("_part") * chunk)
     return dealt.select(*columns, F.explode(F.sequence(F.lit(1), size.cast("int"))).alias("_copy")).drop("_copy")

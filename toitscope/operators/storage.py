@@ -1,9 +1,9 @@
 """Parquet tables in a warehouse folder.
 
-A table lives under ``<warehouse>/<table>/<version>/load_id=<load>/``. A load writes its own folder through Spark's
-commit protocol, so its files appear when the whole job has succeeded, and a load that is repeated under its id
-overwrites what it left before. The first load and every rewrite (upsert, cascade) make a new version and then name
-it in ``<warehouse>/table_versions``, one tiny row each; a reader holds on to the version it started with.
+A table consists of load folders, ``<warehouse>/<table>/commit=<unique>/load_id=<load>/``, as listed by the last commit.
+A load writes its own folder through Spark's commit protocol and then commits it; one that is repeated under its id
+replaces the folder it left. Rewrites (upsert, cascade) write a folder that replaces those they have read. Readers
+keep to the commit they began with.
 """
 
 from __future__ import annotations
@@ -13,14 +13,13 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toitscope.schemas import DEFAULTS, TABLES
+from toitscope.operators.commits import current, exists, transaction
+from toitscope.schemas import DEFAULTS, TABLES, UNIQUE_KEYS
 from toitscope.session import shared_folder
 
-VERSION_SCHEMA = "table_name string, version string, committed_at timestamp_ntz"
 PARTITIONS = {"transactions": ["year"]}
 MAX_ROWS_PER_FILE = 5_000_000
 _staging: ContextVar[str | None] = ContextVar("staging", default=None)
@@ -28,12 +27,9 @@ _staging: ContextVar[str | None] = ContextVar("staging", default=None)
 
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """An append-only Parquet log; empty before its first row."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 @contextmanager
@@ -63,24 +59,20 @@ def staged(df: DataFrame, name: str, split: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def current_version(spark: SparkSession, warehouse: str, table: str) -> str | None:
-    """The version readers get; none before the first load."""
-    log = read_log(spark, f"{warehouse}/table_versions", VERSION_SCHEMA)
-    return log.where(F.col("table_name") == table).agg(F.max_by("version", "committed_at")).first()[0]
-
-
-def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """Current rows of a target table; an empty frame of its schema before the first load.
+def read_table(spark: SparkSession, warehouse: str, table: str, folders: list[str] | None = None) -> DataFrame:
+    """Rows of a target table as of the running transaction or the last commit, or of some of its folders.
 
-    A version that the log names and that is not there is an error, not an empty table.
+    An empty frame of the table's schema before the first load. A folder that is listed and gone is an error, not an
+    empty table.
     """
     columns = [f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table]]
     columns += [f"{name} int" for name in PARTITIONS.get(table, [])]
-    version = current_version(spark, warehouse, table)
-    if version is None:
+    folders = current(spark, warehouse).folders(table) if folders is None else folders
+    if not folders:
         return spark.createDataFrame([], ", ".join(columns))
-    layout = ", ".join([*columns, "load_id string"])
-    return spark.read.schema(layout).parquet(f"{warehouse}/{table}/{version}").drop("load_id")
+    layout = ", ".join([*columns, "commit string", "load_id string"])
+    reader = spark.read.schema(layout).option("basePath", f"{warehouse}/{table}")
+    return reader.parquet(*[f"{warehouse}/{table}/{folder}" for folder in folders]).drop("commit", "load_id")
 
 
 def with_defaults(df: DataFrame, table: str, now=None) -> DataFrame:
@@ -108,37 +100,42 @@ def laid_out(df: DataFrame, table: str) -> DataFrame:
 
 
 def append(df: DataFrame, warehouse: str, table: str, load_id: str | None = None) -> None:
-    """Add a batch to the current version; all of it appears, or nothing, and once under its ``load_id``."""
+    """Add a batch; all of it appears, or nothing, and once under its ``load_id``.
+
+    Appends of several writers all stay. Where rows have a unique key, a change by another writer is a conflict.
+    """
     spark = df.sparkSession
-    version = current_version(spark, warehouse, table)
     load_id = load_id or uuid.uuid4().hex
-    if version is not None:
-        _write(df, f"{warehouse}/{table}/{version}/load_id={load_id}", table)
-        return
-    version = f"v-{uuid.uuid4().hex}"
-    _write(df, f"{warehouse}/{table}/{version}/load_id={load_id}", table)
-    _name_current(spark, warehouse, table, version)
+    with transaction(spark, warehouse) as work:
+        if table in UNIQUE_KEYS:
+            work.rely_on(table)
+        folder = _write(df, warehouse, table, load_id)
+        work.remove(table, [f for f in work.folders(table) if f.endswith(f"/load_id={load_id}")])
+        work.add(table, folder)
 
 
-def replace(df: DataFrame, warehouse: str, table: str) -> str:
-    """Write a new version from ``df`` (which may read the old one) and make it current."""
-    version = f"v-{uuid.uuid4().hex}"
-    _write(df, f"{warehouse}/{table}/{version}/load_id={version}", table)
-    _name_current(df.sparkSession, warehouse, table, version)
-    return version
+def replace(df: DataFrame, warehouse: str, table: str) -> None:
+    """Write ``df`` (which may read the table) in place of the folders there are now.
 
-
-def _name_current(spark: SparkSession, warehouse: str, table: str, version: str) -> None:
-    row = spark.range(0, 1, 1, 1).select(
-        F.lit(table).alias("table_name"), F.lit(version).alias("version"), F.localtimestamp().alias("committed_at")
-    )
-    row.write.mode("append").parquet(f"{warehouse}/table_versions")
-
-
-def _write(df: DataFrame, path: str, table: str) -> None:
-    writer = laid_out(df.select(*TABLES[table].names), table).write.mode("overwrite")
-    writer = writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).option("partitionOverwriteMode", "static")
+    What others append meanwhile stays, unless the table has a unique key; if they replace one of these folders, it is
+    a conflict. To cover the reading of the table as well, call both in one ``transaction``.
+    """
+    with transaction(df.sparkSession, warehouse) as work:
+        if table in UNIQUE_KEYS:
+            work.rely_on(table)
+        old = work.folders(table)
+        folder = _write(df, warehouse, table, "rewritten")
+        work.remove(table, old)
+        work.add(table, folder)
+
+
+def _write(df: DataFrame, warehouse: str, table: str, load_id: str) -> str:
+    """Write a load folder and return its name."""
+    folder = f"commit={uuid.uuid4().hex}/load_id={load_id}"
+    writer = laid_out(df.select(*TABLES[table].names), table).write
+    writer = writer.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
     partitions = PARTITIONS.get(table)
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.parquet(path)
+    writer.parquet(f"{warehouse}/{table}/{folder}")
+    return folder

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import wraps
+from inspect import signature
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,10 @@ from toitscope.operators.cleaning import (
     screen_population,
     screen_transactions,
 )
+from toitscope.operators.commits import after_commit, current, in_transaction, transaction
+from toitscope.operators.deliveries import new_sales
 from toitscope.operators.integrity import cascade_delete, mark_orphans, narrow, with_violations
-from toitscope.operators.keyed import insert_unique, not_yet_loaded, upsert
+from toitscope.operators.keyed import insert_unique, upsert
 from toitscope.operators.ledger import FAILED, SUCCESS, log_event, start_run
 from toitscope.operators.ranking import latest_per_key
 from toitscope.operators.storage import append, read_table, replace, staged, staging, with_defaults
@@ -42,6 +45,10 @@ COMMUNE_UPDATES = ["nom", "dept", "region", "latitude", "longitude"]
 DEMOGRAPHIC_FIGURES = ["population", "revenu_median"]
 
 
+class LoadFailed(RuntimeError):
+    """One of several loads that belong together failed."""
+
+
 class RowsRejected(ValueError):
     """An ``abort`` load met rows that break a rule; nothing was written to the target."""
 
@@ -83,9 +90,11 @@ class Settled:
     name: str
 
     def quarantine(self, warehouse: str, load_id: str) -> None:
+        """Set the rejects aside as soon as the load is committed."""
         if self.result.rows_rejected:
             folder = f"{warehouse}/quarantine/load_id={load_id}/source={self.name}"
-            self.rejects.withColumn("rejected_at", F.localtimestamp()).write.mode("overwrite").parquet(folder)
+            rows = self.rejects.withColumn("rejected_at", F.localtimestamp())
+            after_commit(rows.sparkSession, warehouse, lambda: rows.write.mode("overwrite").parquet(folder))
 
 
 def settle(checked: DataFrame, table: str, on_violation: str = "quarantine", name: str | None = None) -> Settled:
@@ -120,16 +129,29 @@ def read_quarantine(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def in_staging(load: Callable) -> Callable:
-    """Gives a load its staging folder and, unless the caller has one, its id."""
+    """Gives a load its staging folder, its id unless the caller has one, and one transaction for all it writes.
+
+    A load that another writer has overtaken is done anew on the state that one left.
+    """
+    place = list(signature(load).parameters).index("warehouse") - 1
 
     @wraps(load)
     def run(spark: SparkSession, *args, load_id: str | None = None, **options):
+        warehouse = options["warehouse"] if "warehouse" in options else args[place]
+        own = load_id or uuid.uuid4().hex
+
         with staging(spark):
-            return load(spark, *args, load_id=load_id or uuid.uuid4().hex, **options)
+            return in_transaction(spark, warehouse, lambda: load(spark, *args, load_id=own, **options))
 
     return run
 
 
+def known_communes(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The register that rows are judged by; a load fails to commit if it has changed since."""
+    current(spark, warehouse).rely_on("communes")
+    return read_table(spark, warehouse, "communes")
+
+
 @in_staging
 def load_communes(
     spark: SparkSession, root: str, warehouse: str, on_violation: str = "quarantine", load_id: str = ""
@@ -174,18 +196,12 @@ def store_transactions(
     spark = raw.sparkSession
     screened = screen_transactions(raw).drop("_pos")
     found = settle(
-        judged(screened, "transactions", read_table(spark, warehouse, "communes")), "transactions", on_violation
+        judged(screened, "transactions", known_communes(spark, warehouse)), "transactions", on_violation
     )
     batch, result = narrow(found.good, "transactions"), found.result
     if only_new:
-        # Equal sales are of one year: only the folders of years that come in are read. One row per year is collected.
-        years = [row["y"] for row in batch.select(F.year("date_transaction").alias("y")).distinct().collect()]
-        stored = read_table(spark, warehouse, "transactions").where(F.col("year").isin(years))
         counted = Observation()
-        batch = staged(
-            not_yet_loaded(batch, stored, batch.columns).observe(counted, F.count(F.lit(1)).alias("n")),
-            "transactions-new",
-        )
+        batch = staged(new_sales(batch, warehouse, load_id).observe(counted, F.count(F.lit(1)).alias("n")), "transactions-new")
         result.rows_written = counted.get["n"]
     append(with_defaults(batch, "transactions"), warehouse, "transactions", load_id)
     found.quarantine(warehouse, load_id)
@@ -212,7 +228,7 @@ def load_demographics(
     }
     parts = [settle(judged(rows, "demographics"), "demographics", on_violation, name) for name, rows in sources.items()]
     merged = merge_demographics(*[latest_per_key(part.good, ["commune_id"], F.col("_pos")) for part in parts], year)
-    checked = judged(merged, "demographics", read_table(spark, warehouse, "communes"))
+    checked = judged(merged, "demographics", known_communes(spark, warehouse))
     found = settle(checked, "demographics", on_violation)
     batch, result = narrow(found.good, "demographics"), found.result
     stored = read_table(spark, warehouse, "demographics")
@@ -248,7 +264,7 @@ def load_dpe(
 
     Landing folders named by department are pruned by the choice as well.
     """
-    communes = read_table(spark, warehouse, "communes")
+    communes = known_communes(spark, warehouse)
     raw = landing.read_dpe(spark, root, departments)
     if departments:
         raw = of_departments(raw, communes, departments)
@@ -298,12 +314,20 @@ def load_all(
     year: int = 2023,
     departments: list[str] | None = None,
     skip_communes: bool = False,
+    together: bool = False,
     **options,
 ) -> dict[str, bool]:
     """All four loads in foreign-key order, as one pipeline of the ledger; says which of them succeeded.
 
-    One scan takes all chosen departments together.
+    One scan takes all chosen departments together. With ``together`` the tables show what was loaded at once, when all
+    loads are done, and none of it if another writer was first or a load failed (which is then an error).
     """
+    if together:
+        with staging(spark), transaction(spark, warehouse):
+            done = load_all(spark, root, warehouse, year, departments, skip_communes, **options)
+            if not all(done.values()):
+                raise LoadFailed(f"nothing was committed: {done}")
+        return done
     scope = {"departments": departments} if departments else {"scope": "france"}
     pipeline_id = uuid.uuid4().hex
 
@@ -330,6 +354,8 @@ def remove_communes(spark: SparkSession, warehouse: str, deleted: DataFrame, loa
     """Delete communes (``code_insee`` rows) and, with them, their rows in every child table."""
     gone = staged(deleted.select("code_insee").distinct(), "deleted")
     for child in CHILD_TABLES:
+        # A row that another load adds meanwhile may belong to a commune that goes.
+        current(spark, warehouse).rely_on(child)
         rest = cascade_delete(read_table(spark, warehouse, child), gone, "commune_id", "code_insee")
         replace(rest.select(*TABLES[child].names), warehouse, child)
     register = read_table(spark, warehouse, "communes")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
+from toitscope.operators.commits import in_transaction
 from toitscope.operators.storage import staging
 from toitscope.plans.loading import store_transactions
 from toitscope.schemas import TRANSACTIONS_SOURCE, Source
@@ -94,15 +95,22 @@ def ingest_transactions(
     checkpoint: str,
     separator: str | None = None,
     files_per_batch: int | None = None,
+    only_new: bool = False,
 ) -> None:
     """Load sales that landed under ``path`` since the last run into the warehouse: rules, register and quarantine as
-    in the batch load, each batch under a load id made of the checkpoint and its number."""
+    in the batch load, each batch under a load id made of the checkpoint and its number.
+
+    With ``only_new`` a delivery that repeats stored sales, under whatever path, adds only those beyond them.
+    """
     stream, shaped = stream_delimited(spark, path, TRANSACTIONS_SOURCE, separator, files_per_batch=files_per_batch)
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         with staging(batch.sparkSession):
-            store_transactions(shaped(batch), warehouse, False, "quarantine", f"stream-{name}-{batch_id}")
+            rows, load_id = shaped(batch), f"stream-{name}-{batch_id}"
+            in_transaction(
+                batch.sparkSession, warehouse, lambda: store_transactions(rows, warehouse, only_new, "quarantine", load_id)
+            )
 
     query = (
         stream.writeStream.foreachBatch(load)
