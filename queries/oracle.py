@@ -457,3 +457,13 @@ ORACLE["redelivered_rows"] = """SELECT l_suppkey, l_quantity, l_returnflag FROM
 SELECT l_suppkey, l_quantity, l_returnflag FROM lineitem WHERE l_returnflag = 'R'"""
 
 ORACLE["incremental_ingest"] = "SELECT o_orderkey, o_custkey, o_totalprice AS prix, o_orderdate FROM orders"
+
+ORACLE["multiline_csv"] = """SELECT CAST(o_custkey AS VARCHAR) AS "COM",
+  CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END AS "PMUN",
+  CASE WHEN o_orderstatus = 'P' THEN NULL
+       WHEN o_orderpriority = '1-URGENT' THEN 'first' || chr(10) || chr(10) || 'second'
+       WHEN o_orderpriority = '2-HIGH' THEN '"x";' || chr(10) || 'y'
+       WHEN o_orderpriority = '3-MEDIUM' THEN '5" wide'
+       WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_totalprice AS VARCHAR) END AS note,
+  CASE WHEN o_orderstatus = 'P' THEN 'short_row' END AS _damage
+FROM orders"""

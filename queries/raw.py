@@ -121,3 +121,20 @@ SELECT
     WHEN '4-NOT SPECIFIED' THEN concat(CAST(o_custkey AS STRING), '~;', CAST(o_orderkey AS STRING))
     ELSE concat(CAST(o_custkey AS STRING), ';', CAST(o_orderkey AS STRING)) END AS line
 FROM orders"""
+
+
+# One record per order: its comment column holds line breaks, doubled quotes, separators, a quote inside a field, or nothing.
+QUOTED = """
+SELECT
+  o_orderkey AS place,
+  concat_ws(';', CAST(o_custkey AS STRING), CAST(o_orderkey AS STRING),
+    CASE o_orderpriority
+      WHEN '1-URGENT' THEN concat(chr(34), 'first', chr(10), chr(10), 'second', chr(34))
+      WHEN '2-HIGH' THEN concat(chr(34), chr(34), chr(34), 'x', chr(34), chr(34), ';', chr(10), 'y', chr(34))
+      WHEN '3-MEDIUM' THEN concat('5', chr(34), ' wide')
+      WHEN '4-NOT SPECIFIED' THEN ''
+      ELSE CAST(o_totalprice AS STRING) END) AS line
+FROM orders
+WHERE o_orderstatus <> 'P'
+UNION ALL
+SELECT o_orderkey AS place, CAST(o_custkey AS STRING) AS line FROM orders WHERE o_orderstatus = 'P'"""

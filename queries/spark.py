@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
@@ -503,6 +504,18 @@ def damaged_rows(t: Tables) -> DataFrame:
     )
 
 
+@registered
+def multiline_csv(t: Tables) -> DataFrame:
+    """Records with line breaks in quotes, some of them short, from files that several tasks read in splits."""
+    path = f"{shared_folder(t.spark)}/quoted-{uuid.uuid4().hex}"
+    rows = t.raw(raw.QUOTED, "orders")
+    heads = t.spark.range(4).select((-1 - F.col("id")).alias("place"), F.lit("COM;PMUN;note").alias("line"), F.col("id").alias("dept"))
+    files = rows.withColumn("dept", F.pmod("place", F.lit(4))).unionByName(heads)
+    files.repartition("dept").sortWithinPartitions("dept", "place").select("dept", "line").write.partitionBy("dept").text(path)
+    source = replace(schemas.POPULATION_SOURCE, optional=["note"])
+    return read_delimited(t.spark, path, source, quoted_breaks=True).select("COM", "PMUN", "note", "_damage")
+
+
 @registered
 def dept_union_load(t: Tables) -> DataFrame:
     register = t.communes().select(F.col("code_insee").alias("commune_id"), "dept")

@@ -48,12 +48,18 @@ def staging(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def staged(df: DataFrame, name: str, split: str | None = None) -> DataFrame:
-    """``df`` written to the folder of the running ``staging`` and read back, in folders by the text column ``split``."""
+def staged(df: DataFrame, name: str, split: str | None = None, lasting: bool = False) -> DataFrame:
+    """``df`` written to the folder of the running ``staging`` and read back, in folders by the text column ``split``.
+
+    What is ``lasting`` can also be staged outside of it, in a folder that goes when the driver's session ends.
+    """
     spark = df.sparkSession
-    path = f"{_staging.get()}/{name}-{uuid.uuid4().hex}"
-    if not _staging.get():
+    if not _staging.get() and not lasting:
         raise RuntimeError("rows are staged only inside staging()")
+    path = f"{_staging.get() or shared_folder(spark) + '/staging'}/{name}-{uuid.uuid4().hex}"
+    if not _staging.get():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     writer = df.write.partitionBy(split) if split else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -154,10 +154,15 @@ def known_communes(spark: SparkSession, warehouse: str) -> DataFrame:
 
 @in_staging
 def load_communes(
-    spark: SparkSession, root: str, warehouse: str, on_violation: str = "quarantine", load_id: str = ""
+    spark: SparkSession,
+    root: str,
+    warehouse: str,
+    on_violation: str = "quarantine",
+    load_id: str = "",
+    quoted_breaks: bool = False,
 ) -> LoadResult:
     """Upsert the register. The last good row of a code wins; stored stamps and population are kept."""
-    found = settle(judged(screen_communes(landing.read_communes(spark, root)), "communes"), "communes", on_violation)
+    found = settle(judged(screen_communes(landing.read_communes(spark, root, quoted_breaks=quoted_breaks)), "communes"), "communes", on_violation)
     incoming = narrow(latest_per_key(found.good, ["code_insee"], F.col("_pos")), "communes")
     now = F.localtimestamp()
     merged = upsert(
@@ -183,9 +188,10 @@ def load_transactions(
     only_new: bool = False,
     on_violation: str = "quarantine",
     load_id: str = "",
+    quoted_breaks: bool = False,
 ) -> LoadResult:
     """Append sales. ``only_new`` leaves out rows that earlier loads brought in."""
-    raw = landing.read_transactions(spark, root, years, departments, separator)
+    raw = landing.read_transactions(spark, root, years, departments, separator, quoted_breaks=quoted_breaks)
     return store_transactions(raw, warehouse, only_new, on_violation, load_id)
 
 
@@ -217,14 +223,15 @@ def load_demographics(
     on_conflict: str = "abort",
     on_violation: str = "quarantine",
     load_id: str = "",
+    quoted_breaks: bool = False,
 ) -> LoadResult:
     """Merge population and income of one year and add them under the (commune, year) key.
 
     ``update`` replaces the figures a delivery brings and leaves those it does not, and all others, as stored.
     """
     sources = {
-        "population": screen_population(landing.read_population(spark, root)),
-        "income": screen_income(landing.read_income(spark, root)),
+        "population": screen_population(landing.read_population(spark, root, quoted_breaks=quoted_breaks)),
+        "income": screen_income(landing.read_income(spark, root, quoted_breaks=quoted_breaks)),
     }
     parts = [settle(judged(rows, "demographics"), "demographics", on_violation, name) for name, rows in sources.items()]
     merged = merge_demographics(*[latest_per_key(part.good, ["commune_id"], F.col("_pos")) for part in parts], year)
@@ -259,13 +266,14 @@ def load_dpe(
     departments: list[str] | None = None,
     on_violation: str = "quarantine",
     load_id: str = "",
+    quoted_breaks: bool = False,
 ) -> LoadResult:
     """Append all diagnoses, or those of communes that the register places in the given departments.
 
     Landing folders named by department are pruned by the choice as well.
     """
     communes = known_communes(spark, warehouse)
-    raw = landing.read_dpe(spark, root, departments)
+    raw = landing.read_dpe(spark, root, departments, quoted_breaks=quoted_breaks)
     if departments:
         raw = of_departments(raw, communes, departments)
     found = settle(judged(screen_dpe(raw).drop("_pos"), "dpe", communes), "dpe", on_violation)
@@ -315,6 +323,7 @@ def load_all(
     departments: list[str] | None = None,
     skip_communes: bool = False,
     together: bool = False,
+    quoted_breaks: bool = False,
     **options,
 ) -> dict[str, bool]:
     """All four loads in foreign-key order, as one pipeline of the ledger; says which of them succeeded.
@@ -324,7 +333,7 @@ def load_all(
     """
     if together:
         with staging(spark), transaction(spark, warehouse):
-            done = load_all(spark, root, warehouse, year, departments, skip_communes, **options)
+            done = load_all(spark, root, warehouse, year, departments, skip_communes, quoted_breaks=quoted_breaks, **options)
             if not all(done.values()):
                 raise LoadFailed(f"nothing was committed: {done}")
         return done
@@ -336,16 +345,24 @@ def load_all(
 
     done: dict[str, bool] = {}
     if not skip_communes:
-        done["communes"] = run("communes", lambda run_id: load_communes(spark, root, warehouse, load_id=run_id))
+        done["communes"] = run("communes", lambda run_id: load_communes(spark, root, warehouse, load_id=run_id, quoted_breaks=quoted_breaks))
     done["transactions"] = run(
         "transactions",
-        lambda run_id: load_transactions(spark, root, warehouse, [year], departments, load_id=run_id, **options),
+        lambda run_id: load_transactions(
+            spark, root, warehouse, [year], departments, load_id=run_id, quoted_breaks=quoted_breaks, **options
+        ),
         {"year": year, **scope},
     )
     done["demographics"] = run(
-        "demographics", lambda run_id: load_demographics(spark, root, warehouse, year, load_id=run_id), {"year": year}
+        "demographics",
+        lambda run_id: load_demographics(spark, root, warehouse, year, load_id=run_id, quoted_breaks=quoted_breaks),
+        {"year": year},
+    )
+    done["dpe"] = run(
+        "dpe",
+        lambda run_id: load_dpe(spark, root, warehouse, departments, load_id=run_id, quoted_breaks=quoted_breaks),
+        scope,
     )
-    done["dpe"] = run("dpe", lambda run_id: load_dpe(spark, root, warehouse, departments, load_id=run_id), scope)
     return done
 
 

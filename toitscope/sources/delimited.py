@@ -4,8 +4,9 @@ Every source comes out as text columns plus
 
 * ``_pos``    -- place of the row: file, block of the file, running number. Rows of one block are read
   in order by one task, so the running number is needed only within a block.
-* ``_damage`` -- NULL, ``short_row`` (fewer fields than the header) or ``bad_encoding`` (text that was
-  not valid UTF-8). A row with surplus fields is kept; the surplus is ignored.
+* ``_damage`` -- NULL, ``short_row`` (fewer fields than the header), ``bad_encoding`` (text that was
+  not valid UTF-8) or ``open_quote`` (a line behind a quote that nobody closed). A row with surplus fields is kept;
+  the surplus is ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from toitscope.functions.text import any_of
 from toitscope.schemas import Source
+from toitscope.sources.quoted import located_lines, parsed, records
 
 CORRUPT = "_corrupt_record"
 REPLACEMENT = "�"
@@ -61,14 +63,20 @@ def read_delimited(
     glob: str | None = None,
     multi_line: bool = False,
     folders: Column | None = None,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
-    """Batch read of one source. ``multi_line`` allows line breaks in quotes but stops file splitting.
+    """Batch read of one source. ``quoted_breaks`` allows line breaks in quotes: lines are staged, from splits.
 
+    ``multi_line`` allows them too, in one read, but stops file splitting.
     ``folders`` is a condition on the folder columns. It applies before rows are numbered: a filter put on the
     result would not get past the numbering and every file would be opened.
     """
     separator = separator or source.separator
     schema = header_schema(spark, path, separator, glob)
+    if quoted_breaks:
+        text = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+        scanned = text.schema(text_schema(schema)).format("text").load(path)
+        return shape(joined_lines(located_lines(scanned if folders is None else scanned.where(folders)), schema, separator), schema, source)
     reader = spark.read.schema(with_corrupt(schema)).options(**csv_options(separator, multi_line))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -78,6 +86,17 @@ def read_delimited(
     return shape(located(scanned), schema, source)
 
 
+def text_schema(schema: T.StructType) -> T.StructType:
+    """A line and the folder columns."""
+    return T.StructType([T.StructField("value", T.StringType()), *[f for f in schema.fields if f.name in PARTITION_COLUMNS]])
+
+
+def joined_lines(lines: DataFrame, schema: T.StructType, separator: str) -> DataFrame:
+    """Located lines as a located scan: fields may hold line breaks in quotes."""
+    names = [name for name in schema.names if name not in PARTITION_COLUMNS]
+    return parsed(records(lines, separator), names, separator, CORRUPT)
+
+
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
@@ -105,6 +124,8 @@ def shape(scanned: DataFrame, schema: T.StructType, source: Source) -> DataFrame
 
     wanted = source.columns + [name for name in source.optional if name in present]
     short = F.col(CORRUPT).isNotNull() & text(last_header).isNull()
+    lost = F.col("_open") if "_open" in scanned.columns else F.lit(False)
+    row = F.col("_row") if "_row" in scanned.columns else F.monotonically_increasing_id()
     garbled = any_of(*[F.coalesce(text(name), F.lit("")).contains(REPLACEMENT) for name in wanted])
     return scanned.select(
         *[text(name).alias(name) for name in wanted],
@@ -112,7 +133,7 @@ def shape(scanned: DataFrame, schema: T.StructType, source: Source) -> DataFrame
         F.struct(
             F.col("_file").alias("file"),
             F.col("_block").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
+            row.alias("row"),
         ).alias("_pos"),
-        F.when(short, F.lit("short_row")).when(garbled, F.lit("bad_encoding")).alias("_damage"),
+        F.when(lost, F.lit("open_quote")).when(short, F.lit("short_row")).when(garbled, F.lit("bad_encoding")).alias("_damage"),
     )

@@ -2,7 +2,8 @@
 
 Layout: ``<root>/<source>/`` for communes, population and income;
 ``<root>/transactions/year=<yyyy>/dept=<code>/`` and ``<root>/dpe/dept=<code>/`` for the large two, so that
-a year or department choice prunes folders before any file is opened.
+a year or department choice prunes folders before any file is opened. ``quoted_breaks`` is for files whose quoted fields
+hold line breaks.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from toitscope.schemas import (
 from toitscope.sources.delimited import read_delimited
 
 
-def read_communes(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    return read_delimited(spark, f"{root}/communes", COMMUNES_SOURCE, glob=glob)
+def read_communes(spark: SparkSession, root: str, glob: str = "*.csv", quoted_breaks: bool = False) -> DataFrame:
+    return read_delimited(spark, f"{root}/communes", COMMUNES_SOURCE, glob=glob, quoted_breaks=quoted_breaks)
 
 
 def read_transactions(
@@ -34,6 +35,7 @@ def read_transactions(
     departments: list[str] | None = None,
     separator: str | None = None,
     glob: str = "*.csv",
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     return read_delimited(
         spark,
@@ -42,15 +44,16 @@ def read_transactions(
         separator=separator,
         glob=glob,
         folders=chosen(years, departments),
+        quoted_breaks=quoted_breaks,
     )
 
 
-def read_population(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    return read_delimited(spark, f"{root}/population", POPULATION_SOURCE, glob=glob)
+def read_population(spark: SparkSession, root: str, glob: str = "*.csv", quoted_breaks: bool = False) -> DataFrame:
+    return read_delimited(spark, f"{root}/population", POPULATION_SOURCE, glob=glob, quoted_breaks=quoted_breaks)
 
 
-def read_income(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    return read_delimited(spark, f"{root}/income", INCOME_SOURCE, glob=glob)
+def read_income(spark: SparkSession, root: str, glob: str = "*.csv", quoted_breaks: bool = False) -> DataFrame:
+    return read_delimited(spark, f"{root}/income", INCOME_SOURCE, glob=glob, quoted_breaks=quoted_breaks)
 
 
 def read_dpe(
@@ -58,9 +61,10 @@ def read_dpe(
     root: str,
     departments: list[str] | None = None,
     glob: str = "*.csv",
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     return read_delimited(
-        spark, f"{root}/dpe", DPE_SOURCE, glob=glob, folders=chosen(None, departments)
+        spark, f"{root}/dpe", DPE_SOURCE, glob=glob, folders=chosen(None, departments), quoted_breaks=quoted_breaks
     )
 
 

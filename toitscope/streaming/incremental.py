@@ -19,7 +19,8 @@ from toitscope.operators.commits import in_transaction
 from toitscope.operators.storage import staging
 from toitscope.plans.loading import store_transactions
 from toitscope.schemas import TRANSACTIONS_SOURCE, Source
-from toitscope.sources.delimited import csv_options, header_schema, located, shape, with_corrupt
+from toitscope.sources.delimited import csv_options, header_schema, joined_lines, located, shape, with_corrupt
+from toitscope.sources.quoted import located_lines
 
 
 def ingest(
@@ -60,6 +61,7 @@ def stream_delimited(
     separator: str | None = None,
     glob: str = "*.csv",
     files_per_batch: int | None = None,
+    quoted_breaks: bool = False,
 ) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """A stream of the delimited files under ``path`` and what shapes a batch of it like the batch read.
 
@@ -67,6 +69,9 @@ def stream_delimited(
     """
     separator = separator or source.separator
     schema = header_schema(spark, path, separator, glob, folders=False)
+    if quoted_breaks:
+        lines = located_lines(stream_reader(spark, glob, files_per_batch).text(path))
+        return lines, lambda batch: shape(joined_lines(batch, schema, separator), schema, source)
     reader = stream_reader(spark, glob, files_per_batch).schema(with_corrupt(schema))
     stream = located(reader.options(**csv_options(separator)).csv(path))
     return stream, lambda batch: shape(batch, schema, source)
@@ -82,9 +87,10 @@ def ingest_delimited(
     separator: str | None = None,
     glob: str = "*.csv",
     files_per_batch: int | None = None,
+    quoted_breaks: bool = False,
 ) -> None:
     """Clean every delimited file under ``path`` that no earlier run took and store it under ``target``."""
-    stream, shaped = stream_delimited(spark, path, source, separator, glob, files_per_batch)
+    stream, shaped = stream_delimited(spark, path, source, separator, glob, files_per_batch, quoted_breaks)
     ingest(stream, target, lambda batch: clean(shaped(batch)), checkpoint)
 
 
@@ -96,13 +102,16 @@ def ingest_transactions(
     separator: str | None = None,
     files_per_batch: int | None = None,
     only_new: bool = False,
+    quoted_breaks: bool = False,
 ) -> None:
     """Load sales that landed under ``path`` since the last run into the warehouse: rules, register and quarantine as
     in the batch load, each batch under a load id made of the checkpoint and its number.
 
     With ``only_new`` a delivery that repeats stored sales, under whatever path, adds only those beyond them.
     """
-    stream, shaped = stream_delimited(spark, path, TRANSACTIONS_SOURCE, separator, files_per_batch=files_per_batch)
+    stream, shaped = stream_delimited(
+        spark, path, TRANSACTIONS_SOURCE, separator, files_per_batch=files_per_batch, quoted_breaks=quoted_breaks
+    )
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, batch_id: int) -> None:
