@@ -381,7 +381,7 @@ def test_search_empties_sequences_that_best_fit_cannot():
     # Best fit of the longest first needs four sequences here; three hold everything.
     sizes = np.array([5, 4, 4, 3, 2, 2, 5, 5])
     first = packing.best_fit(sizes, 10)
-    better = packing.improve([[int(sizes[i]) for i in b] for b in first], 10, 10_000)
+    better = packing.improve([[int(sizes[i]) for i in b] for b in first], 10)
     assert sorted(x for b in better for x in b) == sorted(sizes.tolist())
     assert all(sum(b) <= 10 for b in better)
     assert len(better) == 3
@@ -400,3 +400,51 @@ def test_search_never_needs_more():
 
 def test_packing_of_no_rows(spark, empty):
     assert packed_rows(spark, empty, 2048) == []
+
+
+def fewest(sizes: tuple[int, ...], capacity: int) -> int:
+    """The least number of sequences, by trying everything: subsets as bits, tokens in the last open sequence."""
+    best = {0: (0, capacity)}
+    for chosen in range(1, 1 << len(sizes)):
+        found = []
+        for i, size in enumerate(sizes):
+            if chosen >> i & 1:
+                n, fill = best[chosen ^ 1 << i]
+                found.append((n, fill + size) if fill + size <= capacity else (n + 1, size))
+        best[chosen] = min(found)
+    return best[(1 << len(sizes)) - 1][0]
+
+
+def test_the_packing_search_agrees_with_trying_everything():
+    draw = np.random.default_rng(5)
+    lost = 0
+    for _ in range(40):
+        sizes = draw.integers(15, 60, 11)
+        packed = packing.improve([[int(sizes[i]) for i in b] for b in packing.best_fit(sizes, 100)], 100)
+        lost += len(packed) - fewest(tuple(sizes.tolist()), 100)
+    assert lost == 0
+
+
+def test_the_packing_search_goes_on_until_nothing_moves():
+    sizes = np.random.default_rng(3).integers(500, 1001, 4000)
+    first = packing.best_fit(sizes, 2048)
+    packed = packing.improve([[int(sizes[i]) for i in b] for b in first], 2048)
+    assert len(first) == 1619 and len(packed) <= 1556
+    assert sorted(x for b in packed for x in b) == sorted(sizes.tolist())
+    assert max(map(sum, packed)) <= 2048
+
+
+def test_partners_are_looked_up_by_room_and_content():
+    bins = [[70, [30, 40]], [90, [20, 70]], [95, [5, 10, 80]]]
+    ones, twos = packing.Partners(bins, 100, False), packing.Partners(bins, 100, True)
+    for i in range(3):
+        ones.add(i)
+        twos.add(i)
+    assert ones.best(30, 0) == (30, 0, 0)
+    assert ones.best(38, 0) == (8, 30, 0)
+    assert twos.best(20, 0) == (5, 15, 2)
+    ones.drop(0)
+    assert ones.best(30, 0) == (10, 20, 1)
+    assert ones.best(30, 10) == (0, 0, -1)
+    assert packing.two_of([5, 10, 80], 90) == [10, 80]
+    assert packing.pair_sums([7, 7, 3]) == {10, 14}

@@ -2,17 +2,18 @@
 
 Documents longer than a sequence are cut into full pieces and one shorter first piece; full pieces are sequences by
 themselves. The rest is dealt at random into buckets of bounded size, as many as the corpus needs, and each bucket is
-packed by one task: best fit of the longest first, then a search that takes the emptiest sequence and, against every
-other one that is not full, moves a document or exchanges one for one, two for one or one for two, whatever moves
-most tokens out of it. Every step raises the sum of squared fills, so the search ends; a sequence that comes out
-empty is saved. A bucket cannot do better than one sequence more than its tokens need, so bucketing costs at most a
-fraction of a sequence per bucket.
+packed by one task: best fit of the longest first, then a search that takes the emptiest sequence and, of all fuller
+ones that have room, finds the one with which moving a document or exchanging one for one, two for one or one for two
+takes most tokens out of it. Partners are looked up by what they hold and the room they have, so a step costs the same
+however many sequences are open. Every step raises the sum of squared fills, so the search ends by itself, when a pass
+over all sequences moves nothing; a sequence that comes out empty is saved. A bucket cannot do better than one
+sequence more than its tokens need, so bucketing costs at most a fraction of a sequence per bucket.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, bisect_right, insort
+from bisect import insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,6 @@ from toitscope.llm.shared import small_batches, staged, text_of
 CAPACITY = 2048
 BUCKET_PIECES = 20_000
 END_OF_TEXT = 0
-#: The search looks at this many (emptiest sequence, other sequence) pairs for each piece of a bucket at most.
-EFFORT = 20
 
 
 def pieces(
@@ -114,67 +113,124 @@ def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def exchange(giver: list[int], taker: list[int], room: int) -> tuple[int, list[int], list[int]]:
-    """What of ``giver`` to swap against what of ``taker`` (sorted sizes) so that most tokens, up to ``room``, move."""
-    most, give, take = 0, [], []
-    at = bisect_right(giver, room) - 1
-    if at >= 0:
-        most, give = giver[at], [giver[at]]
-    single = sorted(set(giver))
-    twice = [x for x in single if giver.count(x) > 1]
-    two = [(a + b, [a, b]) for i, a in enumerate(single) for b in single[i + 1 :]] + [(2 * a, [a, a]) for a in twice]
-    for total, parts in [(a, [a]) for a in single] + two:
-        if total <= most:
-            continue
-        j = bisect_left(taker, total - room)
-        if j < len(taker) and total - taker[j] > most:
-            most, give, take = total - taker[j], parts, [taker[j]]
-    for j, b in enumerate(taker):
-        for c in taker[j + 1 :]:
-            k = bisect_right(single, b + c + room) - 1
-            if k >= 0 and single[k] - b - c > most:
-                most, give, take = single[k] - b - c, [single[k]], [b, c]
-    return most, give, take
-
-
-def improve(sizes: list[list[int]], capacity: int, effort: int) -> list[list[int]]:
-    """Empty sequences (lists of sizes) by exchanges while the tokens could do with fewer."""
+def pair_sums(items: list[int]) -> set[int]:
+    """All sums of two of the sizes; few, as different sizes of one sequence add up to its capacity at most."""
+    single = sorted(set(items))
+    sums = {a + b for i, a in enumerate(single) for b in single[i + 1 :]}
+    return sums | {2 * a for a in single if items.count(a) > 1}
+
+
+def two_of(items: list[int], total: int) -> list[int]:
+    """Two of the sorted sizes that add up to ``total``."""
+    low, high = 0, len(items) - 1
+    while items[low] + items[high] != total:
+        if items[low] + items[high] < total:
+            low += 1
+        else:
+            high -= 1
+    return [items[low], items[high]]
+
+
+class Partners:
+    """Open sequences by what they can give back: nothing, one size or a sum of two, and the room they have.
+
+    ``most[s]`` is at least the greatest room of a sequence that can give back ``s``; it is brought down when a look-up
+    finds that nobody has so much any more.
+    """
+
+    def __init__(self, bins: list[list], capacity: int, in_pairs: bool):
+        self.bins, self.capacity, self.in_pairs = bins, capacity, in_pairs
+        self.most = np.full(capacity + 1, -1, np.int64)
+        self.holders: list[set[int]] = [set() for _ in range(capacity + 1)]
+        self.back = np.arange(capacity + 1)
+
+    def backs(self, i: int) -> set[int]:
+        return pair_sums(self.bins[i][1]) if self.in_pairs else {0, *self.bins[i][1]}
+
+    def add(self, i: int) -> None:
+        room = self.capacity - self.bins[i][0]
+        for s in self.backs(i):
+            self.holders[s].add(i)
+            if room > self.most[s]:
+                self.most[s] = room
+
+    def drop(self, i: int) -> None:
+        for s in self.backs(i):
+            self.holders[s].discard(i)
+
+    def best(self, given: int, beyond: int) -> tuple[int, int, int]:
+        """Gain, what comes back and from whom, if ``given`` goes: the greatest gain over ``beyond``, or 0."""
+        n = min(given - beyond, self.capacity + 1)
+        while n > 0:
+            fits = self.most[:n] >= given - self.back[:n]
+            back = int(fits.argmax())
+            if not fits[back]:
+                return 0, 0, -1
+            gain = given - back
+            rooms = [(self.capacity - self.bins[i][0], i) for i in self.holders[back]]
+            fitting = [x for x in rooms if x[0] >= gain]
+            if fitting:
+                return gain, back, min(fitting)[1]
+            self.most[back] = max(rooms)[0] if rooms else -1
+        return 0, 0, -1
+
+
+def improve(sizes: list[list[int]], capacity: int) -> list[list[int]]:
+    """Empty sequences (lists of sizes) by exchanges while the tokens could do with fewer and something moves."""
     least = -(-sum(map(sum, sizes)) // capacity)
     bins = [[sum(b), sorted(b)] for b in sizes]
     number, moved = len(bins), True
-    while moved and number > least and effort > 0:
+    while moved and number > least:
         moved = False
-        open_ = sorted([b for b in bins if 0 < b[0] < capacity], key=lambda b: b[0])
-        for giver in open_:
-            moving = 0 < giver[0] < capacity
-            while moving and giver[0]:
-                moving = False
-                for taker in reversed(open_):
-                    if taker is giver or not 0 < taker[0] < capacity:
-                        continue
-                    effort -= 1
-                    gain, give, take = exchange(giver[1], taker[1], capacity - taker[0])
-                    if gain and taker[0] + gain > giver[0]:
-                        for source, target, items in ((giver[1], taker[1], give), (taker[1], giver[1], take)):
-                            for x in items:
-                                source.remove(x)
-                                insort(target, x)
-                        giver[0] -= gain
-                        taker[0] += gain
-                        moving = moved = True
-                    if not giver[0] or effort <= 0:
-                        break
-                moving = moving and effort > 0
+        open_ = sorted((i for i, b in enumerate(bins) if 0 < b[0] < capacity), key=lambda i: bins[i][0])
+        ones, twos = Partners(bins, capacity, False), Partners(bins, capacity, True)
+        for i in open_:
+            ones.add(i)
+            twos.add(i)
+        for i in open_:
+            giver = bins[i]
+            if giver[0] >= capacity:
+                continue
+            # From here on only fuller sequences take, so the sum of squares rises with every step.
+            ones.drop(i)
+            twos.drop(i)
+            while giver[0]:
+                gain, give, back, to, pair = 0, 0, 0, -1, False
+                for given in sorted({*giver[1], *pair_sums(giver[1])}, reverse=True):
+                    found = ones.best(given, gain)
+                    if found[0] > gain:
+                        gain, give, back, to, pair = found[0], given, found[1], found[2], False
+                for given in sorted(set(giver[1]), reverse=True):
+                    found = twos.best(given, gain)
+                    if found[0] > gain:
+                        gain, give, back, to, pair = found[0], given, found[1], found[2], True
+                if not gain:
+                    break
+                taker = bins[to]
+                ones.drop(to)
+                twos.drop(to)
+                out = [give] if give in giver[1] else two_of(giver[1], give)
+                come = two_of(taker[1], back) if pair else [back] * (back > 0)
+                for source, target, items in ((giver[1], taker[1], out), (taker[1], giver[1], come)):
+                    for x in items:
+                        source.remove(x)
+                        insort(target, x)
+                giver[0] -= gain
+                taker[0] += gain
+                moved = True
+                if taker[0] < capacity:
+                    ones.add(to)
+                    twos.add(to)
             number -= not giver[0]
-            if number <= least or effort <= 0:
+            if number <= least:
                 break
     return [content for fill, content in bins if fill]
 
 
-def pack_sizes(sizes: np.ndarray, capacity: int, effort: int = EFFORT) -> tuple[np.ndarray, np.ndarray]:
+def pack_sizes(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each size."""
     first = best_fit(sizes, capacity)
-    packed = improve([[int(sizes[i]) for i in b] for b in first], capacity, effort * len(sizes))
+    packed = improve([[int(sizes[i]) for i in b] for b in first], capacity)
     waiting: dict[int, list[int]] = {}
     for i, size in enumerate(sizes.tolist()):
         waiting.setdefault(size, []).append(i)
@@ -188,7 +244,7 @@ def pack_sizes(sizes: np.ndarray, capacity: int, effort: int = EFFORT) -> tuple[
     return sequence, offset
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET_PIECES, effort: int = EFFORT) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset``: sequences of at most ``capacity``, gapless from 0.
 
     ``length`` says how long a piece is and must lie between 1 and ``capacity``; other columns pass through, so ids
@@ -211,7 +267,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET
 
     def packed(table: pa.Table) -> pa.Table:
         table = table.sort_by("_row")
-        sequence, offset = pack_sizes(table.column("length").to_numpy(), capacity, effort)
+        sequence, offset = pack_sizes(table.column("length").to_numpy(), capacity)
         sequence += (table.column("_bucket")[0].as_py() << 32)
         return table.select(names).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
