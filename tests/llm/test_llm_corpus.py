@@ -255,3 +255,14 @@ def test_one_passage_in_a_third_of_all_texts_is_sent_once_a_lot(spark):
     docs = [(i, f"d{i} " + passage if i % 3 == 0 else " ".join(f"u{i}x{j}" for j in range(40))) for i in range(600)]
     found = substring_dedup.without_repeats(frame(spark, docs, "doc_id bigint, text string"))
     assert found.where(F.col("spans").isNotNull()).count() == 199
+
+
+def test_a_step_leaves_only_what_it_keeps(spark):
+    from toitscope.llm.shared import staged, step_of
+
+    with step_of(spark) as kept:
+        early = staged(spark.range(3), "early")
+        kept.append(staged(early.where("id > 0"), "late"))
+    assert kept[0].count() == 2
+    with pytest.raises(Exception, match="(?i)not.exist|not.found"):
+        spark.read.parquet(early.staged_at).count()

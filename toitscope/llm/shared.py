@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from toitscope.session import shared_folder
 
 BATCH_ROWS = 256
+#: Folders of this driver's staged frames that are not dropped yet.
+_staged: list[str] = []
 
 
 def text_of(column: str | Column) -> Column:
@@ -32,6 +36,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    _staged.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
@@ -39,6 +44,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def drop(df: DataFrame) -> None:
     """Remove the files of a staged frame that nothing reads any more."""
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+    _delete(df.sparkSession, df.staged_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _staged:
+        _staged.remove(path)
+
+
+@contextmanager
+def step_of(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Work whose result is written when it ends: what it staged goes, but for the frames it puts into the list."""
+    before, kept = set(_staged), []
+    yield kept
+    stay = {df.staged_at for df in kept}
+    for path in [p for p in _staged if p not in before and p not in stay]:
+        _delete(spark, path)
