@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from toitscope.llm import line_dedup, near_dedup, packing, quality, toxicity
-from toitscope.llm.shared import staged
+from toitscope.llm.shared import staged, step_of
 from toitscope.sources.tables import parquet_table
 
 
@@ -57,5 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, one after the other."""
     docs = parquet_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with step_of(spark) as kept:
+            docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            kept.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
