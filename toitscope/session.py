@@ -41,8 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def name_shared_folder(spark: SparkSession) -> str:
-    """For callers whose session sets none (Spark takes that setting at its start only): a folder in its warehouse."""
+    """For callers whose session sets none (Spark takes that setting at its start only): a folder in its warehouse.
+
+    On a cluster the warehouse has to be one that all machines reach: a local folder is an error.
+    """
     if not spark.conf.get("spark.checkpoint.dir", None):
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        if not alone and warehouse.split(":")[0] in ("file", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         spark.conf.set(OWN_FOLDER, f"{warehouse}/shared")
     return shared_folder(spark)
