@@ -158,6 +158,10 @@ def test_shared_folder_must_be_named():
     assert name_shared_folder(session) == shared_folder(session) == "hdfs://tables/shared"
     session.settings["spark.checkpoint.dir"] = "hdfs://steps"
     assert name_shared_folder(session) == shared_folder(session) == "hdfs://steps"
+    cluster = BareSession()
+    cluster.settings |= {"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/home/someone"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        name_shared_folder(cluster)
 
 
 def test_failed_load_leaves_no_rejects(spark, landing, warehouse):

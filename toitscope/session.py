@@ -47,8 +47,8 @@ def name_shared_folder(spark: SparkSession) -> str:
     """
     if not spark.conf.get("spark.checkpoint.dir", None):
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        alone = spark.sparkContext.master.split("[")[0] == "local"
-        if not alone and warehouse.split(":")[0] in ("file", warehouse):
+        local = warehouse.split(":")[0] in ("file", warehouse)
+        if local and spark.conf.get("spark.master", "local").split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         spark.conf.set(OWN_FOLDER, f"{warehouse}/shared")
     return shared_folder(spark)
