@@ -328,6 +328,10 @@ KNOWN = "(SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)"
 ORACLE["streamed_transactions"] = ORACLE["stored_transactions"]
 ORACLE["streamed_redelivery"] = ORACLE["stored_transactions"]
 ORACLE["snapshot_load"] = ORACLE["stored_transactions"]
+BOTH_WAYS = "(SELECT unnest([false, true]) AS compacted)"
+ORACLE["cascade_by_bitmap"] = f"""SELECT s.*, compacted FROM ({ORACLE["stored_transactions"]}) s, {BOTH_WAYS}
+WHERE commune_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal < 0)"""
+ORACLE["upsert_by_delta"] = f"SELECT u.*, compacted FROM ({ORACLE['upsert_communes']}) u, {BOTH_WAYS}"
 ORACLE["stored_dpe"] = f"SELECT * FROM ({ORACLE['clean_dpe']}) WHERE commune_id IN {KNOWN}"
 ORACLE["stored_demographics"] = f"""SELECT * REPLACE (2001 AS annee) FROM ({ORACLE["merge_demographics"]})
 WHERE commune_id IN {KNOWN}"""

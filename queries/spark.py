@@ -17,7 +17,7 @@ from toitscope import schemas
 from toitscope.functions.labels import building_type, property_type
 from toitscope.functions.measures import json_or_null, price_per_m2
 from toitscope.functions.text import field
-from toitscope.operators import cleaning, integrity, keyed, ledger, ranking, storage
+from toitscope.operators import changes, cleaning, integrity, keyed, ledger, ranking, storage
 from toitscope.operators.commits import transaction
 from toitscope.plans import areas, energy, indicators, loading, prices, terms
 from toitscope.plans.views import EVENTS_FOLDER
@@ -423,6 +423,34 @@ def snapshot_load(t: Tables) -> DataFrame:
     return storage.read_table(t.spark, warehouse, "transactions").drop("created_at")
 
 
+def _around_compaction(t: Tables, warehouse: str, table: str) -> DataFrame:
+    """Rows of a table as marks leave them, and as compaction does."""
+    marked = storage.read_table(t.spark, warehouse, table).withColumn("compacted", F.lit(False))
+    changes.compact(t.spark, warehouse, table)
+    return marked.unionAll(storage.read_table(t.spark, warehouse, table).withColumn("compacted", F.lit(True)))
+
+
+@registered
+def cascade_by_bitmap(t: Tables) -> DataFrame:
+    """Stored sales once the communes with a negative balance are gone from the register."""
+    warehouse = loaded(t)
+    deleted = t.supplier.where(F.col("s_acctbal") < 0).select(F.col("s_suppkey").cast("string").alias("code_insee"))
+    loading.remove_communes(t.spark, warehouse, deleted)
+    return _around_compaction(t, warehouse, "transactions").drop("created_at")
+
+
+@registered
+def upsert_by_delta(t: Tables) -> DataFrame:
+    """The register of ``upsert_communes``, stored, with a delivery merged into it."""
+    _, _, warehouse = fresh(t)
+    storage.append(integrity.narrow(_register(t), "communes"), warehouse, "communes")
+    incoming = integrity.narrow(cleaning.fold_communes(t.raw(raw.COMMUNES, "orders")), "communes")
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
+    fill = {"created_at": now, "updated_at": now}
+    changes.merge_rows(incoming, warehouse, "communes", loading.COMMUNE_UPDATES, fill)
+    return _around_compaction(t, warehouse, "communes")
+
+
 @registered
 def stored_dpe(t: Tables) -> DataFrame:
     root, landing_root, warehouse = fresh(t)

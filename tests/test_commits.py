@@ -132,7 +132,7 @@ def test_a_repeated_load_replaces_what_it_left(spark, warehouse):
     assert prices(spark, warehouse) == [3, 7]
     # Whoever began with the earlier commit keeps to it.
     assert sorted(int(r["prix"]) for r in before.collect()) == [1, 2, 3]
-    old = read_table(spark, warehouse, "transactions", as_of(spark, warehouse, 1).folders("transactions"))
+    old = read_table(spark, warehouse, "transactions", at=as_of(spark, warehouse, 1))
     assert sorted(int(r["prix"]) for r in old.collect()) == [1, 2]
 
 

@@ -27,15 +27,16 @@ from toitscope.operators.cleaning import (
     screen_population,
     screen_transactions,
 )
+from toitscope.operators.changes import merge_rows, remove_rows
 from toitscope.operators.commits import after_commit, current, in_transaction, transaction
 from toitscope.operators.deliveries import new_sales
-from toitscope.operators.integrity import cascade_delete, mark_orphans, narrow, with_violations
-from toitscope.operators.keyed import insert_unique, upsert
+from toitscope.operators.integrity import mark_orphans, narrow, with_violations
+from toitscope.operators.keyed import insert_unique
 from toitscope.operators.ledger import FAILED, SUCCESS, log_event, start_run
 from toitscope.operators.ranking import latest_per_key
-from toitscope.operators.storage import append, read_table, replace, staged, staging, with_defaults
+from toitscope.operators.storage import append, read_table, staged, staging, with_defaults
 from toitscope.plans.views import EVENTS_FOLDER
-from toitscope.schemas import CHILD_TABLES, TABLES, UNIQUE_KEYS
+from toitscope.schemas import CHILD_TABLES, UNIQUE_KEYS
 from toitscope.sources import landing
 
 ORPHAN = "commune_unknown"
@@ -165,14 +166,7 @@ def load_communes(
     found = settle(judged(screen_communes(landing.read_communes(spark, root, quoted_breaks=quoted_breaks)), "communes"), "communes", on_violation)
     incoming = narrow(latest_per_key(found.good, ["code_insee"], F.col("_pos")), "communes")
     now = F.localtimestamp()
-    merged = upsert(
-        read_table(spark, warehouse, "communes"),
-        incoming,
-        UNIQUE_KEYS["communes"],
-        COMMUNE_UPDATES,
-        {"created_at": now, "updated_at": now},
-    )
-    replace(merged, warehouse, "communes")
+    merge_rows(incoming, warehouse, "communes", COMMUNE_UPDATES, {"created_at": now, "updated_at": now})
     found.quarantine(warehouse, load_id)
     return found.result
 
@@ -243,8 +237,7 @@ def load_demographics(
     if on_conflict == "update":
         now = F.localtimestamp()
         stamps = {"created_at": now, "updated_at": now}
-        whole = upsert(stored, batch, keys, DEMOGRAPHIC_FIGURES, stamps, keep_missing=True, touch={"updated_at": now})
-        replace(whole, warehouse, "demographics")
+        merge_rows(batch, warehouse, "demographics", DEMOGRAPHIC_FIGURES, stamps, keep_missing=True, touch={"updated_at": now})
     else:
         # The merge holds each key once, so any constant serves as the row order of "skip".
         added = insert_unique(stored, batch, keys, on_conflict, F.lit(0))
@@ -368,12 +361,13 @@ def load_all(
 
 @in_staging
 def remove_communes(spark: SparkSession, warehouse: str, deleted: DataFrame, load_id: str = "") -> None:
-    """Delete communes (``code_insee`` rows) and, with them, their rows in every child table."""
+    """Delete communes (``code_insee`` rows) and, with them, their rows in every child table.
+
+    Marks are written, and no row anew; ``compact`` writes the folders concerned without the rows when it suits.
+    """
     gone = staged(deleted.select("code_insee").distinct(), "deleted")
     for child in CHILD_TABLES:
         # A row that another load adds meanwhile may belong to a commune that goes.
         current(spark, warehouse).rely_on(child)
-        rest = cascade_delete(read_table(spark, warehouse, child), gone, "commune_id", "code_insee")
-        replace(rest.select(*TABLES[child].names), warehouse, child)
-    register = read_table(spark, warehouse, "communes")
-    replace(cascade_delete(register, gone, "code_insee", "code_insee"), warehouse, "communes")
+        remove_rows(spark, warehouse, child, gone.withColumnRenamed("code_insee", "commune_id"), "commune_id")
+    remove_rows(spark, warehouse, "communes", gone, "code_insee")
