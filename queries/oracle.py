@@ -332,6 +332,10 @@ BOTH_WAYS = "(SELECT unnest([false, true]) AS compacted)"
 ORACLE["cascade_by_bitmap"] = f"""SELECT s.*, compacted FROM ({ORACLE["stored_transactions"]}) s, {BOTH_WAYS}
 WHERE commune_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal < 0)"""
 ORACLE["upsert_by_delta"] = f"SELECT u.*, compacted FROM ({ORACLE['upsert_communes']}) u, {BOTH_WAYS}"
+COMMUNES_LEFT = COMMUNES.replace("FROM supplier", "FROM (SELECT * FROM supplier WHERE (s_acctbal < 0) IS NOT TRUE)")
+ORACLE["kept_price_stats"] = ORACLE["price_stats_commune"].replace(COMMUNES, COMMUNES_LEFT)
+ORACLE["kept_stats_by_level"] = ORACLE["stats_by_level"].replace(COMMUNES, COMMUNES_LEFT)
+ORACLE["kept_price_yoy"] = ORACLE["price_yoy"].replace(COMMUNES, COMMUNES_LEFT)
 ORACLE["stored_dpe"] = f"SELECT * FROM ({ORACLE['clean_dpe']}) WHERE commune_id IN {KNOWN}"
 ORACLE["stored_demographics"] = f"""SELECT * REPLACE (2001 AS annee) FROM ({ORACLE["merge_demographics"]})
 WHERE commune_id IN {KNOWN}"""

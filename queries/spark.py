@@ -17,9 +17,9 @@ from toitscope import schemas
 from toitscope.functions.labels import building_type, property_type
 from toitscope.functions.measures import json_or_null, price_per_m2
 from toitscope.functions.text import field
-from toitscope.operators import changes, cleaning, integrity, keyed, ledger, ranking, storage
+from toitscope.operators import changes, cleaning, integrity, kept, keyed, ledger, ranking, storage
 from toitscope.operators.commits import transaction
-from toitscope.plans import areas, energy, indicators, loading, prices, terms
+from toitscope.plans import areas, energy, indicators, kept_prices, loading, prices, terms
 from toitscope.plans.views import EVENTS_FOLDER
 from toitscope.session import shared_folder
 from toitscope.sources import landing
@@ -451,6 +451,41 @@ def upsert_by_delta(t: Tables) -> DataFrame:
     return _around_compaction(t, warehouse, "communes")
 
 
+def with_kept_counts(t: Tables) -> str:
+    """Three loads of sales and then a removal of communes, with counts kept beside the sales all along."""
+    _, _, warehouse = fresh(t)
+    storage.append(storage.with_defaults(integrity.narrow(t.communes(), "communes"), "communes"), warehouse, "communes")
+    sales, line = t.sales(), F.col("l_linenumber")
+    numbered = t.sales(line)
+    for load, some in {"first": line < 3, "second": line.between(3, 4), "third": line > 4}.items():
+        part = numbered.where(some).select(*sales.columns)
+        storage.append(storage.with_defaults(part, "transactions"), warehouse, "transactions", load)
+        kept.refresh_counts(t.spark, warehouse)
+    deleted = t.supplier.where(F.col("s_acctbal") < 0).select(F.col("s_suppkey").cast("string").alias("code_insee"))
+    loading.remove_communes(t.spark, warehouse, deleted)
+    return warehouse
+
+
+@registered
+def kept_price_stats(t: Tables) -> DataFrame:
+    """``price_stats_commune`` without reading the stored sales, once some communes are gone."""
+    return kept_prices.kept_price_stats(t.spark, with_kept_counts(t), day(AS_OF))
+
+
+@registered
+def kept_stats_by_level(t: Tables) -> DataFrame:
+    """``stats_by_level`` without reading the stored sales, from counts that a compaction has carried over."""
+    warehouse = with_kept_counts(t)
+    changes.compact(t.spark, warehouse, "transactions")
+    return kept_prices.kept_stats_by_level(t.spark, warehouse)
+
+
+@registered
+def kept_price_yoy(t: Tables) -> DataFrame:
+    """``price_yoy`` without reading the stored sales."""
+    return kept_prices.kept_yearly_prices(t.spark, with_kept_counts(t), "dept")
+
+
 @registered
 def stored_dpe(t: Tables) -> DataFrame:
     root, landing_root, warehouse = fresh(t)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toitscope.functions.measures import price_per_m2
@@ -37,7 +37,7 @@ class Tables:
             F.col("r_name").alias("region"),
         )
 
-    def sales(self) -> DataFrame:
+    def sales(self, *more: Column) -> DataFrame:
         price = F.col("l_extendedprice").cast("decimal(12,2)")
         area = F.col("l_quantity").cast("decimal(10,2)")
         return self.lineitem.select(
@@ -47,6 +47,7 @@ class Tables:
             area.alias("surface"),
             price_per_m2(price, area).cast("decimal(10,2)").alias("prix_m2"),
             F.col("l_returnflag").alias("type_bien"),
+            *more,
         )
 
     def diagnoses(self) -> DataFrame:

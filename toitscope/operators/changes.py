@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from toitscope.operators import kept
 from toitscope.operators.commits import current, transaction
 from toitscope.operators.keyed import upsert
 from toitscope.operators.marks import FILE, POSITION
@@ -60,9 +61,12 @@ def remove_rows(spark: SparkSession, warehouse: str, table: str, gone: DataFrame
         if table in UNIQUE_KEYS:
             work.rely_on(table)
         keys = staged(gone.select(key).where(F.col(key).isNotNull()).distinct(), "gone")
-        met = _met(spark, warehouse, table, keys, [key], [])
+        counted = table == kept.SALES and kept.keeps_counts(work)
+        met = _met(spark, warehouse, table, keys, [key], kept.COLUMNS if counted else [])
         if met is not None:
             hide(met, warehouse, table)
+            if counted:
+                kept.take_away(spark, warehouse, met)
 
 
 def merge_rows(
@@ -106,6 +110,9 @@ def compact(spark: SparkSession, warehouse: str, table: str) -> list[str]:
         writer = laid.write.partitionBy(*inner).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         writer.parquet(f"{warehouse}/{table}/{commit}")
         work.remove(table, old)
-        for folder in folders_of(spark, f"{warehouse}/{table}/{commit}", "load_id="):
-            work.add(table, f"{commit}/{folder}")
+        new = [f"{commit}/{folder}" for folder in folders_of(spark, f"{warehouse}/{table}/{commit}", "load_id=")]
+        for folder in new:
+            work.add(table, folder)
+        if table == kept.SALES:
+            kept.carry_over(spark, warehouse, old, new)
         return old

@@ -97,8 +97,21 @@ def amount_stats(
 
 def amount_means(df: DataFrame, keys: list[str], amount: str, members: DataFrame | None = None) -> DataFrame:
     """Mean of one amount per group as ``<amount>_mean``: a sum and a count per key, added up for ``members``."""
-    groups = keys
     sums = df.groupBy(*keys).agg(F.sum(cents(F.col(amount)).cast("decimal(18,0)")).alias("_total"), F.count(amount).alias("_n"))
+    return _means(sums, keys, amount, members)
+
+
+def means_of_counts(
+    counts: DataFrame, keys: list[str], measure: int, amount: str, members: DataFrame | None = None
+) -> DataFrame:
+    """``amount_means`` of the measure with this number, from ``amount_counts``."""
+    known = F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    sums = counts.where(F.col("measure") == measure).groupBy(*keys).agg(_cents_sum().alias("_total"), F.sum(known).alias("_n"))
+    return _means(sums, keys, amount, members)
+
+
+def _means(sums: DataFrame, keys: list[str], amount: str, members: DataFrame | None) -> DataFrame:
+    groups = keys
     if members is not None:
         on = [c for c in keys if c in members.columns]
         groups = [c for c in keys if c not in on] + [c for c in members.columns if c not in on]

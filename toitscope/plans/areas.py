@@ -38,10 +38,10 @@ def area_members(communes: DataFrame) -> DataFrame:
 def stats_by_level(transactions: DataFrame, communes: DataFrame) -> DataFrame:
     """Count, median and mean prices and mean surface of the country, each region, department, commune."""
     members = area_members(communes)
-    return _by_level(sale_stats(transactions, ["commune_id"], ["prix", "prix_m2"], members, mean_surface=True))
+    return by_level(sale_stats(transactions, ["commune_id"], ["prix", "prix_m2"], members, mean_surface=True))
 
 
-def _by_level(stats: DataFrame) -> DataFrame:
+def by_level(stats: DataFrame) -> DataFrame:
     """Figures of areas with the area columns that apply to their level."""
 
     def applies(name: str) -> Column:
@@ -60,8 +60,16 @@ def yearly_prices(transactions: DataFrame, communes: DataFrame, area: str = "dep
     ``area`` is a column of the register. The change is NULL when the area has no sale in the year before.
     """
     dated = transactions.withColumn("annee", F.year("date_transaction"))
-    members = communes.select(F.col("code_insee").alias("commune_id"), F.coalesce(area, F.lit("")).alias("area"))
-    yearly = sale_stats(dated, ["commune_id", "annee"], ["prix"], members)
+    return year_on_year(sale_stats(dated, ["commune_id", "annee"], ["prix"], one_area(communes, area)))
+
+
+def one_area(communes: DataFrame, area: str) -> DataFrame:
+    """Each commune under one column of the register."""
+    return communes.select(F.col("code_insee").alias("commune_id"), F.coalesce(area, F.lit("")).alias("area"))
+
+
+def year_on_year(yearly: DataFrame) -> DataFrame:
+    """Yearly figures of areas with the change against the year before."""
     by_year = W.partitionBy("area").orderBy("annee")
     adjacent = F.lag("annee").over(by_year) == F.col("annee") - 1
     change = F.col("prix_median") - F.col("prix_median_before")
@@ -81,7 +89,7 @@ def area_against_parent(transactions: DataFrame, communes: DataFrame) -> DataFra
 
     ``rank_pct`` is 0 for the cheapest commune of a department and 1 for the dearest.
     """
-    medians = _by_level(sale_stats(transactions, ["commune_id"], ["prix"], area_members(communes)))
+    medians = by_level(sale_stats(transactions, ["commune_id"], ["prix"], area_members(communes)))
     national = medians.where(F.col("level") == "national").select("prix_median")
     local = medians.where(F.col("level").isin("dept", "commune"))
     # A department and its communes meet in one window; both share the region and department columns.

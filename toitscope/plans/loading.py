@@ -28,9 +28,10 @@ from toitscope.operators.cleaning import (
     screen_transactions,
 )
 from toitscope.operators.changes import merge_rows, remove_rows
-from toitscope.operators.commits import after_commit, current, in_transaction, transaction
+from toitscope.operators.commits import CommitConflict, after_commit, current, in_transaction, transaction
 from toitscope.operators.deliveries import new_sales
 from toitscope.operators.integrity import mark_orphans, narrow, with_violations
+from toitscope.operators.kept import keeps_counts, refresh_counts
 from toitscope.operators.keyed import insert_unique
 from toitscope.operators.ledger import FAILED, SUCCESS, log_event, start_run
 from toitscope.operators.ranking import latest_per_key
@@ -205,9 +206,20 @@ def store_transactions(
         result.rows_written = counted.get["n"]
     append(with_defaults(batch, "transactions"), warehouse, "transactions", load_id)
     found.quarantine(warehouse, load_id)
+    if keeps_counts(current(spark, warehouse)):
+        after_commit(spark, warehouse, lambda: count_new_sales(spark, warehouse))
     return result
 
 
+def count_new_sales(spark: SparkSession, warehouse: str) -> None:
+    """Bring the kept counts up to date after a load; the load stands whether or not other writers leave time for it."""
+    try:
+        refresh_counts(spark, warehouse)
+    except CommitConflict:
+        # Readers count the folder themselves until the next refresh.
+        pass
+
+
 @in_staging
 def load_demographics(
     spark: SparkSession,

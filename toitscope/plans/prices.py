@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toitscope.functions.measures import months_before
-from toitscope.operators.medians import amount_counts, amount_means, amount_stats
+from toitscope.operators.medians import amount_counts, amount_means, amount_stats, means_of_counts
 from toitscope.operators.ranking import top
 
 WINDOW_MONTHS = 12
@@ -14,9 +14,13 @@ WINDOW_MONTHS = 12
 BLOCKS = {"prix": 1_000_000, "prix_m2": 100_000}
 
 
+def first_day_of_window(as_of: Column | None = None) -> Column:
+    return months_before(F.current_date() if as_of is None else as_of, WINDOW_MONTHS)
+
+
 def trailing_year(transactions: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Sales from twelve months before ``as_of`` (default: today) on, first day included."""
-    first_day = months_before(F.current_date() if as_of is None else as_of, WINDOW_MONTHS)
+    first_day = first_day_of_window(as_of)
     recent = transactions.where(F.col("date_transaction") >= first_day)
     if "year" in transactions.columns:
         # The stored table has one folder per year: skip the older ones unopened.
@@ -37,20 +41,42 @@ def sale_stats(
     such rows: it is a sum and a count per key.
     """
     placed = transactions.where(F.col("commune_id").isNotNull())
-    blocks = {name: BLOCKS[name] for name in measures}
-    stats = amount_stats(amount_counts(placed, keys, measures), keys, blocks, members)
+    out = _sale_figures(amount_counts(placed, keys, measures), keys, measures, members)
+    if not mean_surface:
+        return out
+    return _with_surface(out, amount_means(placed, keys, "surface", members))
+
+
+def stats_of_counts(
+    counts: DataFrame,
+    keys: list[str],
+    measures: list[str],
+    members: DataFrame | None = None,
+    mean_surface: bool = False,
+) -> DataFrame:
+    """``sale_stats`` from amount counts; the ``measures``, and with ``mean_surface`` the surface after them, are counted."""
+    priced = counts.where(F.col("measure") < len(measures))
+    out = _sale_figures(priced, keys, measures, members)
+    if not mean_surface:
+        return out
+    return _with_surface(out, means_of_counts(counts, keys, len(measures), "surface", members))
+
+
+def _sale_figures(counts: DataFrame, keys: list[str], measures: list[str], members: DataFrame | None) -> DataFrame:
+    stats = amount_stats(counts, keys, {name: BLOCKS[name] for name in measures}, members)
     figures = ["nb_rows", *[f"{name}_{kind}" for name in measures for kind in ("mean", "median")]]
     groups = [name for name in stats.columns if name not in figures]
-    out = stats.select(
+    return stats.select(
         *groups,
         F.col("nb_rows").alias("nb_transactions"),
         *[F.col(f"{name}_median") for name in measures],
         *([F.col("prix_mean").alias("prix_moyen")] if "prix" in measures else []),
     )
-    if not mean_surface:
-        return out
-    surfaces = amount_means(placed, keys, "surface", members).withColumnRenamed("surface_mean", "surface_moyenne")
-    return out.join(surfaces, groups)
+
+
+def _with_surface(figures: DataFrame, means: DataFrame) -> DataFrame:
+    surfaces = means.withColumnRenamed("surface_mean", "surface_moyenne")
+    return figures.join(surfaces, [name for name in surfaces.columns if name != "surface_moyenne"])
 
 
 def price_stats(transactions: DataFrame, communes: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -60,6 +86,11 @@ def price_stats(transactions: DataFrame, communes: DataFrame, as_of: Column | No
     never joined.
     """
     figures = sale_stats(trailing_year(transactions, as_of), ["commune_id"], ["prix", "prix_m2"], mean_surface=True)
+    return of_register(figures, communes)
+
+
+def of_register(figures: DataFrame, communes: DataFrame) -> DataFrame:
+    """Figures per commune with its name and place; those of a commune the register does not know drop out."""
     register = communes.select(
         F.col("code_insee").alias("commune_id"), F.col("nom").alias("commune_nom"), "dept", "region"
     )
@@ -81,6 +112,10 @@ def department_prices(transactions: DataFrame, communes: DataFrame) -> DataFrame
     per_commune = transactions.groupBy("commune_id").agg(
         F.count("*").alias("nb"), F.count("prix").alias("nb_prix"), F.sum("prix").alias("total")
     )
+    return per_department(per_commune, communes)
+
+
+def per_department(per_commune: DataFrame, communes: DataFrame) -> DataFrame:
     register = communes.select(F.col("code_insee").alias("commune_id"), "dept")
     total, number = F.sum("total").cast("decimal(26,2)"), F.sum("nb_prix").cast("decimal(18,0)")
     return (
