@@ -1,12 +1,14 @@
 """Amount counts kept beside the stored sales, from which price figures follow without reading the sales.
 
-For each load folder of the sales they say how often each amount occurs per commune, by day, by month and by year. A
-load adds the counts of its own folder; a removal adds the counts of the rows it hides with a minus, from the rows it
-has found anyway; a compaction adds up the counts of the folders it replaces. A period is read as whole years, whole
-months and the days left over. Counts of a folder that is gone are not read, and a folder without counts is counted
-when it is read, so figures are those of the stored sales whether or not the counts were brought up to date.
-
-A median is no sum of medians, but counts of amounts can be added and taken away, so it is exact here too.
+For each load folder of the sales they say how often each amount occurs per commune and day, and, per year, how many
+sales, known amounts and cents lie in each block of amounts. A load adds the counts of its own folder; a removal adds
+the counts of the rows it hides with a minus, from the rows it has found anyway; a compaction adds up the counts of the
+folders it replaces. Counts of a folder that is gone are not read, and a folder without counts is counted when it is
+read, so figures are those of the stored sales whether or not the counts were brought up to date.
+
+A median is no sum of medians, but counts can be added and taken away, so it is exact here too: the block with the
+middle rank is found from the block totals of whole years and the days before them, and only prices of such blocks
+go on. Means and numbers need block totals alone.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toitscope.operators.commits import Snapshot, Transaction, current, in_transaction, transaction
-from toitscope.operators.medians import amount_counts
+from toitscope.operators.medians import amount_counts, block_sums
 from toitscope.operators.storage import (
     MAX_ROWS_PER_FILE,
     concerned,
@@ -30,11 +32,17 @@ from toitscope.operators.storage import (
 )
 
 SALES, COUNTS = "transactions", "transactions_counts"
-# The number of a measure in the counts is its place here.
-MEASURES = ["prix", "prix_m2", "surface"]
+# The cents per block of each measure; part of what is stored. Only the mean of surfaces is asked for: one block.
+BLOCKS = {"prix": 1_000_000, "prix_m2": 100_000, "surface": 10**12}
+# The number of a measure in the counts is its place here. Medians are asked for of the first two.
+MEASURES = list(BLOCKS)
+PRICES = MEASURES[:2]
 COLUMNS = ["commune_id", "date_transaction", *MEASURES]
-SCHEMA = "commune_id string, since date, measure int, units bigint, n bigint"
+# ``units`` is an amount, and ``n`` how often it occurs; for block totals, the number of the block and its rows.
+SCHEMA = "commune_id string, since date, measure int, units bigint, n bigint, in_block bigint, total decimal(38,0)"
+FIGURES = ["n", "in_block", "total"]
 FOLDERS = "counts string, commit string, load_id string, grain string, year int"
+STORED = ["commune_id", "since", "measure", "units", *FIGURES, "commit", "load_id", "grain", "year"]
 # Names a folder that has been counted, also one without rows; it is never read.
 COUNTED = "folder"
 
@@ -57,24 +65,25 @@ def covered(at: Snapshot | Transaction) -> tuple[list[str], list[str], list[str]
     return used, unused, [folder for name, folder in sales.items() if name not in described]
 
 
-def _wider(counts: DataFrame, unit: str) -> DataFrame:
-    start = F.trunc("since", unit).alias("since")
-    return counts.groupBy("commit", "load_id", "commune_id", start, "measure", "units").agg(F.sum("n").alias("n"))
-
-
-def _all_periods(sales: DataFrame, sign: int = 1) -> DataFrame:
-    """Counts of some stored sales by day, month and year, each added up from the one before."""
-    per_day = amount_counts(sales, ["commit", "load_id", "commune_id", "date_transaction"], MEASURES)
-    days = staged(
-        per_day.withColumnRenamed("date_transaction", "since").withColumn("n", F.col("n") * sign), "counts-by-day"
-    )
-    months = _wider(days, "MM")
-    periods = {"day": days, "month": months, "year": _wider(months, "YY")}
-    names = ["commune_id", "since", "measure", "units", "n", "commit", "load_id"]
+def _kept_counts(sales: DataFrame, sign: int = 1) -> DataFrame:
+    """Amounts by day, and block totals by year, of some stored sales."""
+    keys = ["commit", "load_id", "commune_id"]
+    counted = amount_counts(sales, [*keys, "date_transaction"], MEASURES).withColumn("n", F.col("n") * sign)
+    days = staged(counted.withColumnRenamed("date_transaction", "since"), "counts-by-day")
+    yearly = block_sums(days.withColumn("since", F.trunc("since", "YY")), [*keys, "since"], BLOCKS)
+    empty = {"in_block": F.lit(None).cast("bigint"), "total": F.lit(None).cast("decimal(38,0)")}
+    grains = {"day": days.withColumns(empty), "year": yearly.withColumnsRenamed({"block": "units", "nb_rows": "n"})}
     parts = [
-        part.select(*names, F.lit(grain).alias("grain"), F.year("since").alias("year")) for grain, part in periods.items()
+        part.withColumns({"grain": F.lit(grain), "year": F.year("since")}).select(*STORED) for grain, part in grains.items()
     ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return _union(parts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionAll(part)
+    return found
 
 
 def _store(counts: DataFrame, warehouse: str) -> list[str]:
@@ -121,10 +130,10 @@ def refresh_counts(spark: SparkSession, warehouse: str) -> list[str]:
         whole = [folder for folder in missing if folder not in marked]
         names = [*COLUMNS, "commit", "load_id"]
         parts = [placed_rows(spark, warehouse, SALES, some, at).select(*names) for some in (whole, marked) if some]
-        counts = _all_periods(parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1]))
-        nothing = [F.lit(None).cast(counts.schema[c].dataType).alias(c) for c in ("commune_id", "since", "measure", "units")]
+        counts = _kept_counts(_union(parts))
+        known = {"n": F.lit(0), "grain": F.lit(COUNTED), "year": F.lit(0), "commit": F.col("commit"), "load_id": F.col("load_id")}
         done = _named(spark, missing).select(
-            *nothing, F.lit(0).cast("bigint").alias("n"), "commit", "load_id", F.lit(COUNTED).alias("grain"), F.lit(0).alias("year")
+            *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in counts.schema.fields]
         )
         for name in _store(counts.unionAll(done), warehouse):
             at.add(COUNTS, name)
@@ -147,7 +156,7 @@ def take_away(spark: SparkSession, warehouse: str, hidden: DataFrame) -> None:
             return
         known = _named(spark, sorted({_sales_folder(name) for name in used}))
         rows = hidden.select(*COLUMNS, "commit", "load_id").join(known, ["commit", "load_id"], "left_semi")
-        for name in _store(_all_periods(rows, -1), warehouse):
+        for name in _store(_kept_counts(rows, -1), warehouse):
             at.add(COUNTS, name)
 
 
@@ -166,50 +175,74 @@ def carry_over(spark: SparkSession, warehouse: str, old: list[str], new: list[st
         if not carried:
             return
         at.rely_on(COUNTS)
-        keys = ["commune_id", "since", "measure", "units", "load_id", "grain", "year"]
-        summed = _read(spark, warehouse, carried).groupBy(*keys).agg(F.sum("n").alias("n"))
-        commit = F.lit(new[0].partition("/")[0].partition("=")[2]).alias("commit")
-        left = summed.where((F.col("n") != 0) | (F.col("grain") == COUNTED))
-        order = ["commune_id", "since", "measure", "units", "n", commit, "load_id", "grain", "year"]
-        for name in _store(left.select(*order), warehouse):
+        keys = [name for name in STORED if name not in (*FIGURES, "commit")]
+        summed = _read(spark, warehouse, carried).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in FIGURES])
+        commit = F.lit(new[0].partition("/")[0].partition("=")[2])
+        left = summed.where((F.col("n") != 0) | (F.col("grain") == COUNTED)).withColumn("commit", commit)
+        for name in _store(left.select(*STORED), warehouse):
             at.add(COUNTS, name)
 
 
-def _periods(since: Column | None) -> list[Column]:
-    """Which counts make up the time from a day on: days up to a month's first, months up to a year's first, years."""
+def _periods(since: Column | None) -> dict[str, Column]:
+    """Which rows make up the time from a day on: days up to the next first of January, then years."""
     grain, start, year = F.col("grain"), F.col("since"), F.col("year")
     if since is None:
-        return [grain == "year"]
-    before = F.date_sub(since, 1)
-    first_month, first_year = F.add_months(F.trunc(before, "MM"), 1), F.add_months(F.trunc(before, "YY"), 12)
-    return [
-        (grain == "day") & (year == F.year(since)) & (start >= since) & (start < first_month),
-        (grain == "month") & (year == F.year(since)) & (start >= first_month) & (start < first_year),
-        (grain == "year") & (year >= F.year(first_year)),
-    ]
+        return {"year": grain == "year"}
+    first_year = F.add_months(F.trunc(F.date_sub(since, 1), "YY"), 12)
+    return {
+        "day": (grain == "day") & (year == F.year(since)) & (start >= since) & (start < first_year),
+        "year": (grain == "year") & (year >= F.year(first_year)),
+    }
+
+
+def _uncounted(spark: SparkSession, warehouse: str, at, missing: list[str], since: Column | None) -> DataFrame:
+    """Sales of load folders without counts."""
+    sales = read_table(spark, warehouse, SALES, missing, at)
+    if since is None:
+        return sales
+    return sales.where((F.col("date_transaction") >= since) & (F.col("year") >= F.year(since)))
 
 
-def read_counts(
-    spark: SparkSession, warehouse: str, keys: list[str], measures: list[str] = MEASURES, since: Column | None = None
+def read_amounts(
+    spark: SparkSession, warehouse: str, keys: list[str], measures: list[str] = PRICES, since: Column | None = None
 ) -> DataFrame:
-    """``amount_counts`` of all stored sales, or of those from the day ``since`` on, by ``commune_id`` and maybe ``year``.
+    """How often each price occurs (keys, measure, units, n), by ``commune_id`` and maybe ``year``, from a day on.
+
+    A price has a row for each day and load, and a negative one where sales were removed. Sales themselves are read
+    only in load folders without counts.
+    """
+    at = current(spark, warehouse)
+    used, _, missing = covered(at)
+    names, parts = [*keys, "measure", "units", "n"], []
+    if used:
+        days = _read(spark, warehouse, used).where(F.col("grain") == "day")
+        if since is not None:
+            days = days.where((F.col("year") >= F.year(since)) & (F.col("since") >= since))
+        parts.append(days.select(*names))
+    if missing or not used:
+        parts.append(amount_counts(_uncounted(spark, warehouse, at, missing, since), keys, PRICES).select(*names))
+    return _union(parts).where(F.col("measure").isin([PRICES.index(name) for name in measures]))
+
+
+def read_sums(spark: SparkSession, warehouse: str, keys: list[str], since: Column | None = None) -> DataFrame:
+    """``block_sums`` of all stored sales, or of those from a day on, by ``commune_id`` and maybe ``year``.
 
     Sales themselves are read only in load folders without counts.
     """
     at = current(spark, warehouse)
     used, _, missing = covered(at)
-    names = [*keys, "measure", "units", "n"]
-    wanted = F.col("measure").isin([MEASURES.index(name) for name in measures])
-    parts = []
+    names, parts = [*keys, "measure", "block", "nb_rows", "in_block", "total"], []
     if used:
-        kept = _read(spark, warehouse, used).where(wanted)
-        parts += [kept.where(period).select(*names) for period in _periods(since)]
+        kept = _read(spark, warehouse, used)
+        for grain, period in _periods(since).items():
+            found = kept.where(period)
+            if grain == "day":
+                parts.append(block_sums(found.select(*keys, "measure", "units", "n"), keys, BLOCKS).select(*names))
+            else:
+                parts.append(found.withColumnsRenamed({"units": "block", "n": "nb_rows"}).select(*names))
     if missing or not used:
-        sales = read_table(spark, warehouse, SALES, missing, at)
-        if since is not None:
-            sales = sales.where((F.col("date_transaction") >= since) & (F.col("year") >= F.year(since)))
-        parts.append(amount_counts(sales, keys, MEASURES).where(wanted).select(*names))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionAll(part)
-    return found.groupBy(*keys, "measure", "units").agg(F.sum("n").alias("n")).where("n <> 0")
+        sales = _uncounted(spark, warehouse, at, missing, since)
+        parts.append(block_sums(amount_counts(sales, keys, MEASURES), keys, BLOCKS).select(*names))
+    summed = _union(parts).groupBy(*keys, "measure", "block")
+    total = F.sum("total").cast("decimal(38,0)").alias("total")
+    return summed.agg(F.sum("nb_rows").alias("nb_rows"), F.sum("in_block").alias("in_block"), total).where("nb_rows <> 0")

@@ -45,35 +45,52 @@ def _block(sizes: list[int]) -> Column:
     return F.coalesce(block, F.lit(0).cast("bigint"))
 
 
+def block_sums(counts: DataFrame, keys: list[str], amounts: dict[str, int]) -> DataFrame:
+    """(keys, measure, block, nb_rows, in_block, total): counts added up by block of amounts."""
+    return _block_sums(_blocked(counts, amounts), keys, _cents_sum())
+
+
+def _blocked(counts: DataFrame, amounts: dict[str, int]) -> DataFrame:
+    return counts.withColumn("block", _block(list(amounts.values()))).withColumn(
+        "valid", F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    )
+
+
 def amount_stats(
-    counts: DataFrame, keys: list[str], amounts: dict[str, int], members: DataFrame | None = None
+    counts: DataFrame,
+    keys: list[str],
+    amounts: dict[str, int],
+    members: DataFrame | None = None,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: ``nb_rows`` and, per amount, ``<name>_mean`` and ``<name>_median``.
 
     ``counts`` come from ``amount_counts``; ``amounts`` gives the block size of each, in the same order.
     The groups are the keys themselves, or with ``members`` (key columns, group columns) every group a key is
     listed under; a key that is not listed drops out. Keys and groups must not be NULL.
+
+    With ``sums``, the ``block_sums`` of the counts, only amounts of middle blocks are shuffled; the counts may then
+    have several rows for an amount, which are added up.
     """
     # Both readers of the counts take the same columns and rows, so Spark shuffles them once.
-    blocked = counts.withColumn("block", _block(list(amounts.values()))).withColumn(
-        "valid", F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    )
-    groups, per_block = keys, _block_sums(blocked, keys, _cents_sum())
+    blocked = _blocked(counts, amounts)
+    groups, per_block = keys, _block_sums(blocked, keys, _cents_sum()) if sums is None else sums
     if members is not None:
         on = [c for c in keys if c in members.columns]
         groups = [c for c in keys if c not in on] + [c for c in members.columns if c not in on]
         per_block = _block_sums(per_block.join(members, on), groups, F.sum("total"), "nb_rows", "in_block")
 
     blocks = _middle_blocks(per_block, [*groups, "measure"])
-    if members is None:
-        inside = blocked.join(blocks, [*keys, "measure", "block"])
-    else:
-        shared = [c for c in groups if c in members.columns]
-        inside = (
-            blocked.join(blocks.join(members, shared), [*keys, "measure", "block"])
-            .groupBy(*groups, "measure", "block", "units")
-            .agg(F.sum("valid").alias("valid"), *[F.max(name).alias(name) for name in CARRIED])
+    if members is not None:
+        blocks = blocks.join(members, [c for c in groups if c in members.columns])
+    inside = blocked.join(blocks, [*keys, "measure", "block"])
+    if members is not None or sums is not None:
+        inside = inside.groupBy(*groups, "measure", "block", "units").agg(
+            F.sum("valid").alias("valid"), *[F.max(name).alias(name) for name in CARRIED]
         )
+    if sums is not None:
+        # Amounts whose counts add up to nothing would pass for the one before them.
+        inside = inside.where((F.col("valid") > 0) | (F.col("nb_values") == 0))
     hits = _middle_amounts(inside, [*groups, "measure"])
     picked = {"nb_values": F.max, "total": F.max, "lower": F.min, "upper": F.max}
     figures = hits.groupBy(*groups).agg(
@@ -101,13 +118,10 @@ def amount_means(df: DataFrame, keys: list[str], amount: str, members: DataFrame
     return _means(sums, keys, amount, members)
 
 
-def means_of_counts(
-    counts: DataFrame, keys: list[str], measure: int, amount: str, members: DataFrame | None = None
-) -> DataFrame:
-    """``amount_means`` of the measure with this number, from ``amount_counts``."""
-    known = F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    sums = counts.where(F.col("measure") == measure).groupBy(*keys).agg(_cents_sum().alias("_total"), F.sum(known).alias("_n"))
-    return _means(sums, keys, amount, members)
+def means_of_sums(sums: DataFrame, keys: list[str], measure: int, amount: str, members: DataFrame | None = None) -> DataFrame:
+    """``amount_means`` of the measure with this number, from ``block_sums``."""
+    of_key = sums.where(F.col("measure") == measure).groupBy(*keys)
+    return _means(of_key.agg(F.sum("total").alias("_total"), F.sum("in_block").alias("_n")), keys, amount, members)
 
 
 def _means(sums: DataFrame, keys: list[str], amount: str, members: DataFrame | None) -> DataFrame:

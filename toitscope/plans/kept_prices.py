@@ -9,40 +9,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toitscope.operators.kept import MEASURES, read_counts
+from toitscope.operators.kept import PRICES, read_amounts, read_sums
 from toitscope.operators.storage import read_table
 from toitscope.plans.areas import area_members, by_level, one_area, year_on_year
 from toitscope.plans.prices import first_day_of_window, of_register, per_department, stats_of_counts
 
 
+def _figures(spark: SparkSession, warehouse: str, since: Column | None = None, members: DataFrame | None = None) -> DataFrame:
+    keys = ["commune_id"]
+    sums = read_sums(spark, warehouse, keys, since)
+    return stats_of_counts(read_amounts(spark, warehouse, keys, PRICES, since), sums, keys, PRICES, members, mean_surface=True)
+
+
 def kept_price_stats(spark: SparkSession, warehouse: str, as_of: Column | None = None) -> DataFrame:
-    """``price_stats``: the trailing year as its days, months and years."""
-    counts = read_counts(spark, warehouse, ["commune_id"], since=first_day_of_window(as_of))
-    figures = stats_of_counts(counts, ["commune_id"], MEASURES[:2], mean_surface=True)
-    return of_register(figures, read_table(spark, warehouse, "communes"))
+    """``price_stats``: the trailing year as days and whole years."""
+    return of_register(_figures(spark, warehouse, first_day_of_window(as_of)), read_table(spark, warehouse, "communes"))
 
 
 def kept_stats_by_level(spark: SparkSession, warehouse: str) -> DataFrame:
     """``stats_by_level`` of all stored sales."""
-    members = area_members(read_table(spark, warehouse, "communes"))
-    counts = read_counts(spark, warehouse, ["commune_id"])
-    return by_level(stats_of_counts(counts, ["commune_id"], MEASURES[:2], members, mean_surface=True))
+    return by_level(_figures(spark, warehouse, members=area_members(read_table(spark, warehouse, "communes"))))
 
 
 def kept_yearly_prices(spark: SparkSession, warehouse: str, area: str = "dept") -> DataFrame:
     """``yearly_prices`` per area."""
-    counts = read_counts(spark, warehouse, ["commune_id", "year"], MEASURES[:1]).withColumnRenamed("year", "annee")
+    found = [read(spark, warehouse, ["commune_id", "year"]) for read in (read_amounts, read_sums)]
+    counts, sums = [df.where(F.col("measure") == 0).withColumnRenamed("year", "annee") for df in found]
     members = one_area(read_table(spark, warehouse, "communes"), area)
-    return year_on_year(stats_of_counts(counts, ["commune_id", "annee"], MEASURES[:1], members))
+    return year_on_year(stats_of_counts(counts, sums, ["commune_id", "annee"], PRICES[:1], members))
 
 
 def kept_department_prices(spark: SparkSession, warehouse: str) -> DataFrame:
-    """``department_prices`` of all stored sales."""
-    known = F.when(F.col("units").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    spent = F.sum(F.col("units").cast("decimal(18,0)") * F.col("n").cast("decimal(18,0)"))
+    """``department_prices`` of all stored sales; block totals are enough."""
+    spent = (F.sum("total").cast("decimal(36,0)") / 100).alias("total")
     per_commune = (
-        read_counts(spark, warehouse, ["commune_id"], MEASURES[:1])
+        read_sums(spark, warehouse, ["commune_id"])
+        .where(F.col("measure") == 0)
         .groupBy("commune_id")
-        .agg(F.sum("n").alias("nb"), F.sum(known).alias("nb_prix"), (spent.cast("decimal(36,0)") / 100).alias("total"))
+        .agg(F.sum("nb_rows").alias("nb"), F.sum("in_block").alias("nb_prix"), spent)
     )
     return per_department(per_commune, read_table(spark, warehouse, "communes"))

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toitscope.functions.measures import months_before
-from toitscope.operators.medians import amount_counts, amount_means, amount_stats, means_of_counts
+from toitscope.operators.kept import BLOCKS, MEASURES
+from toitscope.operators.medians import amount_counts, amount_means, amount_stats, means_of_sums
 from toitscope.operators.ranking import top
 
 WINDOW_MONTHS = 12
-# Amounts of a sale whose median is looked for, and the cents per block when it is.
-BLOCKS = {"prix": 1_000_000, "prix_m2": 100_000}
 
 
 def first_day_of_window(as_of: Column | None = None) -> Column:
@@ -49,21 +48,24 @@ def sale_stats(
 
 def stats_of_counts(
     counts: DataFrame,
+    sums: DataFrame,
     keys: list[str],
     measures: list[str],
     members: DataFrame | None = None,
     mean_surface: bool = False,
 ) -> DataFrame:
-    """``sale_stats`` from amount counts; the ``measures``, and with ``mean_surface`` the surface after them, are counted."""
-    priced = counts.where(F.col("measure") < len(measures))
-    out = _sale_figures(priced, keys, measures, members)
+    """``sale_stats`` from kept counts of the amounts and their block totals; ``measures`` begin with the price."""
+    priced = sums.where(F.col("measure") < len(measures))
+    out = _sale_figures(counts, keys, measures, members, priced)
     if not mean_surface:
         return out
-    return _with_surface(out, means_of_counts(counts, keys, len(measures), "surface", members))
+    return _with_surface(out, means_of_sums(sums, keys, MEASURES.index("surface"), "surface", members))
 
 
-def _sale_figures(counts: DataFrame, keys: list[str], measures: list[str], members: DataFrame | None) -> DataFrame:
-    stats = amount_stats(counts, keys, {name: BLOCKS[name] for name in measures}, members)
+def _sale_figures(
+    counts: DataFrame, keys: list[str], measures: list[str], members: DataFrame | None, sums: DataFrame | None = None
+) -> DataFrame:
+    stats = amount_stats(counts, keys, {name: BLOCKS[name] for name in measures}, members, sums)
     figures = ["nb_rows", *[f"{name}_{kind}" for name in measures for kind in ("mean", "median")]]
     groups = [name for name in stats.columns if name not in figures]
     return stats.select(
