@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 from tests.test_commits import communes, elsewhere
+from tests.test_loading import landing, sale  # noqa: F401
 
 from toitscope.operators.changes import compact, remove_rows
 from toitscope.operators.commits import CommitConflict, current, in_transaction, latest, transaction
@@ -22,9 +23,11 @@ from toitscope.plans.kept_prices import (
     kept_stats_by_level,
     kept_yearly_prices,
 )
-from toitscope.plans.loading import remove_communes
+from toitscope.plans.loading import load_communes, load_transactions, remove_communes
 from toitscope.plans.prices import department_prices, price_stats
 from toitscope.plans.views import open_warehouse
+from toitscope.schemas import TRANSACTION_COLUMNS
+from toitscope.streaming.incremental import ingest_transactions
 
 SALES = "transactions"
 CODES = ["01001", "01002", "02001", "03001"]
@@ -183,3 +186,20 @@ def test_an_empty_warehouse_and_an_empty_load(spark, warehouse):
     refresh_counts(spark, warehouse)
     assert all_counted(spark, warehouse)
     same_figures(spark, warehouse)
+
+
+def test_loads_and_streams_keep_the_counts_once_there_are_any(spark, landing, warehouse, write, tmp_path):  # noqa: F811
+    load_communes(spark, landing, warehouse)
+    load_transactions(spark, landing, warehouse, [2022])
+    assert not latest(spark, warehouse).folders(COUNTS)
+    refresh_counts(spark, warehouse)
+    load_transactions(spark, landing, warehouse, [2023], load_id="second")
+    assert all_counted(spark, warehouse)
+    load_transactions(spark, landing, warehouse, [2023], load_id="second")
+    assert all_counted(spark, warehouse)
+    drops = write("drops", "a.csv", "|".join(TRANSACTION_COLUMNS), sale("75056", "2023-12-31", "300000"))
+    ingest_transactions(spark, drops, warehouse, str(tmp_path / "checkpoint"))
+    assert all_counted(spark, warehouse)
+    same_figures(spark, warehouse, date(2024, 5, 1))
+    levels = {r["level"]: r["nb_transactions"] for r in kept_stats_by_level(spark, warehouse).collect() if r["level"] == "national"}
+    assert levels == {"national": 6}
