@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from toitscope.llm import merkle, search, substring_dedup
@@ -257,6 +263,113 @@ def test_one_passage_in_a_third_of_all_texts_is_sent_once_a_lot(spark):
     assert found.where(F.col("spans").isNotNull()).count() == 199
 
 
+@pytest.mark.parametrize("texts", [[], [""], ["", " \n", "a"], ["a b", "", "c\t\x0bd ", " e", "f\x1cg\xa0h"], ["x  ", "  ", "  y"], ["é 日本語", "é"]])
+@pytest.mark.parametrize("kind", [pa.string(), pa.binary(), pa.large_binary()])
+def test_words_of_many_texts_are_found_at_once(texts, kind):
+    for skipped in range(len(texts) + 1):
+        data, edges, doc = substring_dedup.words_of(pa.array([t.encode() for t in texts], pa.binary()).cast(kind).slice(skipped))
+        expected = [(i, w) for i, t in enumerate(texts[skipped:]) for w in t.encode().split()]
+        assert list(zip(doc.tolist(), data.split(b" ")[:-1], strict=True)) == expected
+        assert [data[a:b] for a, b in zip(edges.tolist(), edges.tolist()[1:], strict=False)] == [w + b" " for _, w in expected]
+
+
+def test_anchors_are_the_first_of_the_least_in_each_window():
+    draw = np.random.default_rng(3)
+    h = draw.integers(0, 6, 400).astype(np.uint64)
+    doc = np.sort(draw.integers(0, 9, 400))
+    for least, k in [(13, 3), (13, 1), (5, 5), (4, 2), (1, 1)]:
+        g = substring_dedup.grams(h, k) >> np.uint64(32)
+        expected = {w: w + int(np.argmin(g[w : w + least - k + 1])) for w in range(400 - least + 1) if doc[w] == doc[w + least - 1]}
+        got = {w: a for first, a, last in zip(*substring_dedup.anchors(h, doc, least, k), strict=True) for w in range(first, last + 1)}
+        assert got == expected
+
+
+def test_a_sample_holds_the_same_words_always_or_never():
+    texts = pa.array([" ".join(random.Random(i % 40).choices([f"s{j}" for j in range(500)], k=300)) for i in range(80)])
+    whole, part = (substring_dedup._Lot(13, 3, pa.int64(), every) for every in (1, 8))
+    for lot in (whole, part):
+        lot.add(list(range(80)), [0] * 80, texts, substring_dedup.Hasher())
+    assert part.size == whole.size
+    assert set(part.seen) < set(whole.seen)
+    assert len(whole.seen) / 12 < len(part.seen) < len(whole.seen) / 5
+    assert part.leaves[0].shape[1] == 2 * len(part.seen)
+
+
+def test_a_tree_takes_less_time_than_numbering_its_words_one_by_one():
+    draw = random.Random(5)
+    words = [b"w%d " % i for i in range(50_000)]
+    lot = [[draw.choice(words) for _ in range(19)] for _ in range(60_000)]
+    suffixes = pa.array([b"".join(x) for x in lot] + [b"".join(x) for x in lot[:600]], pa.large_binary())
+    least_id = np.arange(len(suffixes))
+
+    def plain():
+        number = {}
+        for text in suffixes.to_pylist():
+            for word in text.split(b" ")[:-1]:
+                number.setdefault(word, len(number))
+
+    def taken(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    def tree():
+        return substring_dedup.repeated_in_tree(suffixes, np.full(len(suffixes), 3), least_id, 13, 3)
+
+    found = tree()
+    assert sorted(zip(*(x.tolist() for x in found), strict=True)) == [(60_000 + i, o, i) for i in range(600) for o in range(4)]
+    assert min(taken(tree) for _ in range(3)) < 0.7 * min(taken(plain) for _ in range(3))
+
+
+def test_many_small_bundles_cost_little_more_than_a_large_one():
+    draw = random.Random(6)
+    words = [f"w{i}" for i in range(50_000)]
+    texts = pa.array([" ".join(draw.choices(words, k=500)) for _ in range(200)])
+    lot = substring_dedup._Lot(13, 3, pa.int64())
+    lot.add(list(range(200)), [0] * 200, texts, substring_dedup.Hasher())
+
+    def size(trees):
+        bundles = [r[3] for r in lot.rows(0, [np.zeros(0, np.uint64)] * 3, trees) if r[0] == substring_dedup._SUFFIX]
+        return len(bundles), sum(map(len, bundles))
+
+    # Most of 2,000 trees get 8 suffixes or so.
+    few, one = size(1)
+    many, small = size(2000)
+    assert few == 1 and many > 1800
+    assert small - one < 600 * many
+
+
+def test_a_tree_needs_little_more_than_its_words():
+    """Measured in a process of its own: the peak of a tree over its words, less than 20 bytes for each."""
+    code = """
+import numpy as np, pyarrow as pa
+from toitscope.llm import substring_dedup
+draw = np.random.default_rng(1)
+vocabulary = [b"word%d " % i for i in range(5000)]
+words = pa.array([b"".join([vocabulary[j] for j in row]) for row in draw.integers(0, 5000, (200_000, 19)).tolist()], pa.large_binary())
+peak = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("VmHWM")).split()[1]) / 1024
+open("/proc/self/clear_refs", "w").write("5")
+before = peak()
+substring_dedup.repeated_in_tree(words, np.full(200_000, 3), np.arange(200_000), 13, 3)
+print(peak() - before)
+"""
+    here = Path(__file__).parents[2]
+    out = subprocess.run([sys.executable, "-c", code], cwd=here, env={**os.environ, "PYTHONPATH": str(here)}, capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 20 * 3.8
+
+
+def test_bundles_keep_numbers_ids_and_words():
+    packer = zstandard.ZstdCompressor()
+    for ids in (np.array([5, -1, 1 << 62]), np.array(["b", "", "é\U0010ffff"], object)):
+        parts = [(np.array([9, 2, 700_000]), np.array([0, 10, 3]), ids, [b"a ", b"b c ", b"d "]), (np.array([1]), np.array([1]), ids[1:2], [b"e "])]
+        size, content, place, least, words = substring_dedup._unpacked([substring_dedup._packed(packer, *x) for x in parts], ids.dtype == object)
+        assert size.tolist() == [3, 1]
+        assert content.tolist() == [9, 2, 700_000, 1]
+        assert place.tolist() == [0, 10, 3, 1]
+        assert least.tolist() == [*ids, ids[1]]
+        assert words.to_pylist() == [b"a ", b"b c ", b"d ", b"e "]
+
+
 def test_a_step_leaves_only_what_it_keeps(spark):
     from toitscope.llm.shared import staged, step_of
 
