@@ -5,13 +5,16 @@ from __future__ import annotations
 import csv
 import io
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from queries import spark as queries
 from toitscope.operators.storage import read_table
 from toitscope.plans import loading
 from toitscope.schemas import POPULATION_SOURCE, TRANSACTION_COLUMNS
+from toitscope.sources import quoted
 from toitscope.sources.delimited import read_delimited
 from toitscope.sources.quoted import FLIP, INSIDE, KEEP, OUTSIDE, effect
 from toitscope.streaming.incremental import ingest_transactions
@@ -96,3 +99,39 @@ def test_sales_with_line_breaks_by_batch_and_stream(spark, write, tmp_path):
     ingest_transactions(spark, str(tmp_path / "drops"), warehouse, str(tmp_path / "checkpoint"), quoted_breaks=True)
     stored = read_table(spark, warehouse, "transactions").collect()
     assert len(stored) == 8 and all("\n" in r["adresse"] for r in stored)
+
+
+def test_runs_are_small_whatever_the_block(spark, tmp_path, monkeypatch):
+    """Records that go on over several runs of one block; no window holds more lines than a run has."""
+    monkeypatch.setattr(quoted, "RUN_BITS", 3)
+    sizes = []
+    seen = quoted._begins
+    monkeypatch.setattr(quoted, "_begins", lambda run: sizes.extend(r["count"] for r in run.groupBy(*quoted.RUN).count().collect()) or seen(run))
+    rows = messy(7, 200)
+    for number in (3, 90, 91, 199):
+        rows[number][2] = "\n".join(f"line {i} of {number}" for i in range(7 + number))
+    out = io.StringIO()
+    writer = csv.writer(out, delimiter=";", lineterminator="\n")
+    writer.writerow(["COM", "PMUN", "X"])
+    writer.writerows(rows)
+    (tmp_path / "a.csv").write_text(out.getvalue())
+    source = replace(POPULATION_SOURCE, optional=["X"])
+    got = read_delimited(spark, str(tmp_path / "a.csv"), source, quoted_breaks=True)
+    assert [[r["COM"], r["PMUN"] or "", r["X"] or ""] for r in got.orderBy("_pos").collect()] == rows
+    assert got.select("_pos.block").distinct().count() == 1
+    assert len(sizes) > 80 and max(sizes) <= 8
+
+
+def test_a_larger_table_has_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "RECORDS_PER_FILE", 50)
+    orders = spark.range(1000).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "'1-URGENT' AS o_orderpriority", "1.5D AS o_totalprice"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    paths = []
+    reader = queries.read_delimited
+    monkeypatch.setattr(queries, "read_delimited", lambda s, path, *a, **o: paths.append(path) or reader(s, path, *a, **o))
+    got = queries.REGISTRY["multiline_csv"](spark, str(tmp_path)).collect()
+    assert len(got) == 1000 and {r["note"] for r in got} == {"first\n\nsecond"}
+    by_file = spark.read.text(paths[0]).groupBy(F.input_file_name()).count().collect()
+    assert len(by_file) == 20 and max(r["count"] for r in by_file) == 151
