@@ -203,3 +203,43 @@ def test_loads_and_streams_keep_the_counts_once_there_are_any(spark, landing, wa
     same_figures(spark, warehouse, date(2024, 5, 1))
     levels = {r["level"]: r["nb_transactions"] for r in kept_stats_by_level(spark, warehouse).collect() if r["level"] == "national"}
     assert levels == {"national": 6}
+
+
+def odd_sales(spark, load):
+    """Sales of different amounts, large, negative and unknown ones among them; some without a commune or a day."""
+    rows = [
+        (
+            None if i % 7 == 0 else CODES[i % 4],
+            None if i % 11 == 0 else date(2021 + i % 3, 1 + i % 12, 1 + i % 28),
+            {0: None, 1: Decimal("9999999999.99"), 2: Decimal("-12345.67")}.get(i % 13, Decimal(i * 997) + Decimal("0.37")),
+            None if i % 5 == 0 else Decimal("99999999.99") - i,
+            None if i % 6 == 0 else Decimal(i * 31),
+            f"{load}-{i % 2}" if i % 3 else "loft",
+        )
+        for i in range(120)
+    ]
+    kinds = "commune_id string, date_transaction date, prix decimal(12,2), surface decimal(10,2), prix_m2 decimal(10,2), type_bien string"
+    return with_defaults(spark.createDataFrame(rows, kinds), SALES)
+
+
+def same_counts(spark, warehouse):
+    sales = read_table(spark, warehouse, SALES)
+    for keys in (["commune_id"], ["commune_id", "year"]):
+        want = amount_counts(sales, keys, list(BLOCKS))
+        got = read_amounts(spark, warehouse, keys).groupBy(*keys, "measure", "units").agg(F.sum("n").alias("n")).where("n <> 0")
+        assert rows(got) == rows(want.where(F.col("measure") < len(PRICES)))
+        figures = [F.coalesce("total", F.lit(0)).alias("total"), *[c for c in (*keys, "measure", "block", "nb_rows", "in_block")]]
+        assert rows(read_sums(spark, warehouse, keys).select(*figures)) == rows(block_sums(want, keys, BLOCKS).select(*figures))
+
+
+def test_a_sale_has_a_row_of_counts_at_most(spark, warehouse):
+    """The measures of a sale are counted, shuffled and stored together, not in a row for each."""
+    append(odd_sales(spark, "a"), warehouse, SALES, "a")
+    refresh_counts(spark, warehouse)
+    append(odd_sales(spark, "b"), warehouse, SALES, "b")
+    refresh_counts(spark, warehouse)
+    stored = spark.read.parquet(f"{warehouse}/{COUNTS}")
+    assert stored.where(F.col("grain") == "day").count() == 240
+    same_counts(spark, warehouse)
+    append(odd_sales(spark, "c"), warehouse, SALES, "c")
+    same_counts(spark, warehouse)

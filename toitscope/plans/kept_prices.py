@@ -33,8 +33,9 @@ def kept_stats_by_level(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def kept_yearly_prices(spark: SparkSession, warehouse: str, area: str = "dept") -> DataFrame:
     """``yearly_prices`` per area."""
-    found = [read(spark, warehouse, ["commune_id", "year"]) for read in (read_amounts, read_sums)]
-    counts, sums = [df.where(F.col("measure") == 0).withColumnRenamed("year", "annee") for df in found]
+    keys, price = ["commune_id", "year"], PRICES[:1]
+    found = [read_amounts(spark, warehouse, keys, price), read_sums(spark, warehouse, keys, measures=price)]
+    counts, sums = [df.withColumnRenamed("year", "annee") for df in found]
     members = one_area(read_table(spark, warehouse, "communes"), area)
     return year_on_year(stats_of_counts(counts, sums, ["commune_id", "annee"], PRICES[:1], members))
 
@@ -43,8 +44,7 @@ def kept_department_prices(spark: SparkSession, warehouse: str) -> DataFrame:
     """``department_prices`` of all stored sales; block totals are enough."""
     spent = (F.sum("total").cast("decimal(36,0)") / 100).alias("total")
     per_commune = (
-        read_sums(spark, warehouse, ["commune_id"])
-        .where(F.col("measure") == 0)
+        read_sums(spark, warehouse, ["commune_id"], measures=PRICES[:1])
         .groupBy("commune_id")
         .agg(F.sum("nb_rows").alias("nb"), F.sum("in_block").alias("nb_prix"), spent)
     )
