@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.test_commits import communes, elsewhere
 from tests.test_loading import landing, sale  # noqa: F401
 
+from toitscope.operators import kept
 from toitscope.operators.changes import compact, remove_rows
 from toitscope.operators.commits import CommitConflict, current, in_transaction, latest, transaction
 from toitscope.operators.kept import BLOCKS, COUNTS, PRICES, covered, read_amounts, read_sums, refresh_counts
@@ -243,3 +244,26 @@ def test_a_sale_has_a_row_of_counts_at_most(spark, warehouse):
     same_counts(spark, warehouse)
     append(odd_sales(spark, "c"), warehouse, SALES, "c")
     same_counts(spark, warehouse)
+
+
+def test_a_compaction_adds_up_only_what_was_touched(spark, warehouse, monkeypatch):
+    for load in ("a", "b"):
+        append(odd_sales(spark, load).where(F.col("date_transaction").isNotNull()), warehouse, SALES, load)
+        refresh_counts(spark, warehouse)
+    remove_rows(spark, warehouse, SALES, codes(spark, "01002"), "commune_id")
+    added = []
+    sums = kept._sums
+    monkeypatch.setattr(kept, "_sums", lambda found, *a: added.append({r[0] for r in found.select("commune_id").distinct().collect()}) or sums(found, *a))
+    compact(spark, warehouse, SALES)
+    monkeypatch.undo()
+    assert added and all(communes == {"01002"} for communes in added)
+    assert all_counted(spark, warehouse)
+    same_counts(spark, warehouse)
+    # Communes that are not known are touched like any other.
+    remove_rows(spark, warehouse, SALES, spark.createDataFrame([("loft",)], "type_bien string"), "type_bien")
+    same_counts(spark, warehouse)
+    compact(spark, warehouse, SALES)
+    assert all_counted(spark, warehouse)
+    same_counts(spark, warehouse)
+    used, _, _ = covered(latest(spark, warehouse))
+    assert kept._read(spark, warehouse, used, "day").where("n <= 0").count() == 0
